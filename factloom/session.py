@@ -18,18 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage through reliable storage.
-
-    The folder is the cluster's ``spark.checkpoint.dir``; only where the session
-    has none (tests on one machine) a temporary folder is set.
-    """
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the session's ``spark.checkpoint.dir``; only where there is none (tests on one machine) a temporary one."""
     context = spark.sparkContext
-    if not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="factloom-checkpoint-"))
-    elif not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="factloom-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage through reliable storage in the shared folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -1 +1 @@
-"""See the package README section of the repository for an overview."""
+"""Readers of inline-tagged documents, linkbases, index pages and section text."""
