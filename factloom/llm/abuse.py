@@ -33,15 +33,15 @@ from factloom.session import small
 #: Hash buckets, latent factors, longest stretch of terms that is scored as one sentence.
 BUCKETS, FACTORS, LONGEST = 1 << 16, 8, 32
 #: Labelled documents used for training, at most: the first by a hash of their id.
-LABELLED_LIMIT = 6000
+LABELLED_LIMIT = 10_000
 #: Sentences taken from one labelled document, at most (those longer are sampled evenly).
 SENTENCES_PER_DOC = 200
 ROUNDS, EPOCHS, RATE, DECAY = 3, 12, 0.12, 3e-5
 #: Documents without opinions used as mostly harmless ones, at most; sentences of theirs above SUSPECT are left out,
 #: and the worst sentence of an offensive text below DOUBTFUL is not held against it (both before the logistic function).
-UNLABELLED_LIMIT, SUSPECT, DOUBTFUL = 1500, 0.0, 0.0
+UNLABELLED_LIMIT, SUSPECT, DOUBTFUL = 2500, -1.0, 0.0
 #: A document is offensive when the probability of its worst sentence is at least this.
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 CHUNK_BYTES = 8_000_000
 #: Term spellings that a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 2_000_000
@@ -274,7 +274,7 @@ def _padded(terms: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sentences as rows of buckets, filled up with nothing."""
     ends = np.append(starts[1:], len(terms))
     place = np.arange(len(terms)) - np.repeat(starts, ends - starts)
-    out = np.zeros((len(starts), LONGEST), dtype=np.int64)
+    out = np.zeros((len(starts), LONGEST), dtype=np.uint16)
     out[np.repeat(np.arange(len(starts)), ends - starts), place] = terms
     return out
 
@@ -295,7 +295,7 @@ def train(rows: np.ndarray, labels: np.ndarray, weights: np.ndarray, model: dict
         order = np.lexsort((rng.random(len(rows)), length))
         for lo in rng.permutation(np.arange(0, len(order), batch)):
             pick = order[lo : lo + batch]
-            x = rows[pick][:, : max(1, int(length[pick].max()))]
+            x = rows[pick][:, : max(1, int(length[pick].max()))].astype(np.int64)
             there = (x != NOTHING)[:, :, None]
             vx = v[x] * there
             total = vx.sum(1)
@@ -346,7 +346,7 @@ def fit(bags: list[tuple[int, np.ndarray]]) -> dict:
     weights = np.where(labels == 1, 1.0, 1.5)
     of = lambda label: [r for y, r in bags if y == label and len(r)]
     good, bad, rest = of(0), of(1), of(-1)
-    stacked = lambda group: np.unique(np.concatenate(group), axis=0) if group else np.zeros((0, LONGEST), dtype=np.int64)
+    stacked = lambda group: np.unique(np.concatenate(group), axis=0) if group else np.zeros((0, LONGEST), dtype=np.uint16)
     harmless, other = stacked(good), stacked(rest)
     held = {r.tobytes() for r in harmless}
     # Terms much more frequent in offensive texts than in the others help the first choice.
@@ -367,8 +367,8 @@ def fit(bags: list[tuple[int, np.ndarray]]) -> dict:
                         taken.append(r[i])
                     break
         unsaid = other[_score_rows(other, model) < SUSPECT] if len(other) else other
-        parts = [(rows, labels, weights), (harmless, 0.0, 1.0), (unsaid, 0.0, 0.5), (np.array(taken).reshape(-1, LONGEST), 1.0, 2.0)]
-        x = np.concatenate([p[0] for p in parts]).astype(np.int64)
+        parts = [(rows, labels, weights), (harmless, 0.0, 1.0), (unsaid, 0.0, 0.5), (np.array(taken, dtype=np.uint16).reshape(-1, LONGEST), 1.0, 2.0)]
+        x = np.concatenate([p[0] for p in parts])
         y = np.concatenate([np.broadcast_to(p[1], len(p[0])) for p in parts])
         g = np.concatenate([np.broadcast_to(p[2], len(p[0])) for p in parts])
         model = train(x, y, g, seed=7 + turn)
@@ -376,9 +376,13 @@ def fit(bags: list[tuple[int, np.ndarray]]) -> dict:
 
 
 def _score_rows(rows: np.ndarray, model: dict) -> np.ndarray:
-    v = model["v"][rows]
-    total = v.sum(1)
-    return model["b"] + model["w"][rows].sum(1) + 0.5 * ((total * total).sum(1) - model["vv"][rows].sum(1))
+    out = np.empty(len(rows))
+    for lo in range(0, len(rows), 20_000):
+        part = rows[lo : lo + 20_000].astype(np.int64)
+        v = model["v"][part]
+        total = v.sum(1)
+        out[lo : lo + len(part)] = model["b"] + model["w"][part].sum(1) + 0.5 * ((total * total).sum(1) - model["vv"][part].sum(1))
+    return out
 
 
 def opinions(labels: DataFrame) -> DataFrame:
@@ -404,7 +408,7 @@ def labelled_bags(documents: DataFrame, labels: DataFrame, limit: int = LABELLED
         for batch in batches:
             terms, starts, text = sentences(batch["text"], state)
             ys = batch["label"].to_pylist()
-            rows = _padded(terms, starts).astype(np.int32) if len(starts) else np.zeros((0, LONGEST), dtype=np.int32)
+            rows = _padded(terms, starts)
             out = []
             for i, y in enumerate(ys):
                 lo, hi = np.searchsorted(text, [i, i + 1])
@@ -415,7 +419,7 @@ def labelled_bags(documents: DataFrame, labels: DataFrame, limit: int = LABELLED
             yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in out], pa.int32()), pa.array([r for _, r in out], pa.binary())], names=["label", "rows"])
 
     found = joined.mapInArrow(run, "label int, rows binary").collect()
-    bags = [(r["label"], np.frombuffer(bytes(r["rows"]), dtype=np.int32).reshape(-1, LONGEST).astype(np.int64)) for r in found]
+    bags = [(r["label"], np.frombuffer(bytes(r["rows"]), dtype=np.uint16).reshape(-1, LONGEST)) for r in found]
     # The order of a collected result is chance; training must not depend on it.
     return sorted(bags, key=lambda b: (b[0], zlib.crc32(b[1].tobytes()), len(b[1])))
 
