@@ -51,7 +51,7 @@ NOTHING = 0  # the bucket of terms that say nothing (numbers, marks)
 # Letters that look like Latin ones, and digits and signs used for letters.
 LOOKALIKES = str.maketrans("аеорсухіјѕԁһкмтвнԛԝαοερτυνικ", "aeopcyxijsdhkmtbhqwaoeptuvik")
 LEET = str.maketrans("013457@$€+!|", "oieastasetil")
-INVISIBLE = dict.fromkeys(map(ord, "​‌‍⁠﻿­‎‏"))
+INVISIBLE = dict.fromkeys(map(ord, "\u200b\u200c\u200d\u2060\ufeff\u00ad\u200e\u200f"))
 
 
 def bucket(term: str) -> int:

@@ -3,8 +3,8 @@
 For every gap (room left in an open container) the packer counts the containers that have
 it. An item goes where the sum of the squares of these counts becomes smallest, which
 keeps gaps varied and so likely to be filled. Items are spread evenly over shards by the
-hash of their id; a shard is packed on its own, longest items first, in memory that is
-bounded by the shard's token count, and a shard's few open containers are all it wastes.
+hash of their id; a shard is packed on its own, longest items first and once at random, in
+memory bounded by the shard's token count; its few open containers are all it wastes.
 """
 
 from __future__ import annotations
@@ -55,6 +55,15 @@ def sum_of_squares(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return out
 
 
+def best_packing(sizes: np.ndarray, capacity: int) -> np.ndarray:
+    """The container of each item, packed once in the given order and once in a fixed random one; the fuller packing is kept."""
+    given = sum_of_squares(sizes, capacity)
+    order = np.random.default_rng(len(sizes)).permutation(len(sizes))
+    mixed = np.empty_like(given)
+    mixed[order] = sum_of_squares(sizes[order], capacity)
+    return mixed if mixed.max(initial=-1) < given.max(initial=-1) else given
+
+
 def pack(items: DataFrame, capacity: int = CAPACITY, shard_containers: int = SHARD_CONTAINERS) -> DataFrame:
     """Containers for items given as ``doc_id, n_tokens``.
 
@@ -81,7 +90,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, shard_containers: int = SHA
             at = table["shard"].to_numpy()
             for lo, hi in zip(edges := np.append(0, np.flatnonzero(np.diff(at)) + 1), [*edges[1:], len(at)]):
                 part = table.slice(lo, hi - lo).combine_chunks()
-                boxes = sum_of_squares(part["n_tokens"].to_numpy(), capacity)
+                boxes = best_packing(part["n_tokens"].to_numpy(), capacity)
                 names = pa.array(at[lo] * (1 << 32) + boxes, pa.int64())
                 yield from part.drop_columns(["shard"]).append_column("container_id", names).to_batches()
 

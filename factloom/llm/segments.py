@@ -34,7 +34,7 @@ ABBREVIATIONS = frozenset(
     jan feb mar apr jun jul aug sep sept oct nov dec okt dez mon tue wed thu fri sat sun max min avg tel ext""".split()
 )
 
-_BREAK = r"(?:\r\n|\r|\n| | |\x85)"
+_BREAK = r"(?:\r\n|\r|\n|\u2028|\u2029|\x85)"
 _PARAGRAPH = re.compile(rf"{_BREAK}[^\S\r\n]*(?:{_BREAK}[^\S\r\n]*)+")
 _LINE = re.compile(_BREAK)
 _SENTENCE = re.compile(r"[.!?…]+[\"'”’»)\]]*(?=\s)|[。！？｡]+[\"'”’」』）]*")
