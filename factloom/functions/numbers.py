@@ -58,7 +58,7 @@ _FIGURE = (
     rf"({_CONTINENTAL}|{_GROUPED})\)? ?"
     rf"(?:({_any(SCALE_WORDS)})(?![a-z]))? ?({_any(UNIT_WORDS)})?\)?$"
 )
-_BLANKS = "    　\t\r\n"
+_BLANKS = "\u00a0\u2007\u2009\u202f\u3000\t\r\n"
 _DASHES = "−‒–—﹣－"
 
 

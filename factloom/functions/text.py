@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Characters and the ASCII text that stands for them.
 ONE_TO_ONE = {
-    " ": " ", " ": " ", " ": " ", "‘": "'", "’": "'", "“": '"', "”": '"',
+    "\u00a0": " ", "\u2007": " ", "\u202f": " ", "‘": "'", "’": "'", "“": '"', "”": '"',
     "–": "-", "−": "-", "•": "*", "‣": ">", "⁃": "-", "◦": "o", "▪": "*", "▫": "*",
     "·": "*", "×": "x", "÷": "/",
 }

@@ -36,7 +36,7 @@ def read_payload(text: str | None):
         if not isinstance(value, str):
             break
         try:
-            value = json.loads(value.lstrip("﻿ \t\r\n"))
+            value = json.loads(value.lstrip("\ufeff \t\r\n"))
         except (ValueError, RecursionError):
             return None
     return value if isinstance(value, (dict, list)) else None

@@ -107,12 +107,15 @@ def optimised(text: Column) -> Column:
 
 def spliced(document: Column, block: Column, marker: str = "@STATEMENTS") -> Column:
     """A block put after the dictionary, else before Item 8, else before the first section, else at the end; nothing if it is already there."""
-    def before(pattern: str) -> Column:
-        return F.regexp_replace(document, f"(?s)^(.*?)({pattern})", F.concat(F.lit("$1"), F.regexp_replace(block, r"([\\$])", r"\\\\$1"), F.lit("\n$2")))
+    def before(mark: str) -> Column:
+        at = F.instr(document, mark)
+        return F.concat(F.left(document, at - 1), block, F.lit("\n"), F.substr(document, at))
 
+    has = lambda mark: F.contains(document, F.lit(mark))
+    dictionary = "@END_DICTIONARY"
     return (
-        F.when(F.contains(document, F.lit(marker)), document).when(document.rlike(r"@END_DICTIONARY"), F.replace(document, F.lit("@END_DICTIONARY"), F.concat(F.lit("@END_DICTIONARY\n"), block)))
-        .when(document.rlike(r"@SECTION: ITEM_8"), before("@SECTION: ITEM_8")).when(document.rlike(r"@SECTION:"), before("@SECTION:")).otherwise(F.concat_ws("\n", document, block))
+        F.when(has(marker), document).when(has(dictionary), F.replace(document, F.lit(dictionary), F.concat(F.lit(dictionary + "\n"), block)))
+        .when(has("@SECTION: ITEM_8"), before("@SECTION: ITEM_8")).when(has("@SECTION:"), before("@SECTION:")).otherwise(F.concat_ws("\n", document, block))
     )
 
 

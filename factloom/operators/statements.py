@@ -46,7 +46,7 @@ def unpivoted(wide: DataFrame, keys: list[str], columns: list[str], name: str, v
 def long_table(text: Column) -> Column:
     """A pipe table as ``array<struct<row, item, column, value>>``: first line the header, first cell the item."""
     lines = F.filter(F.split(text, "\n"), lambda line: F.contains(line, F.lit("|")))
-    cells = F.transform(lines, lambda line: F.transform(F.split(line, r"\|"), F.trim))
+    cells = F.transform(lines, lambda line: F.transform(F.split(line, r"\|"), lambda cell: F.trim(cell)))
     header = cells[0]
     body = F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 1, F.lit(0)))
     rows = F.transform(body, lambda row, i: F.transform(

@@ -89,7 +89,7 @@ def typed_cells(facts: DataFrame, concepts: DataFrame) -> DataFrame:
     f = facts.where("filing_id is not null and contextref is not null").select("fact_id", "filing_id", "contextref", "pos", "value", F.col("name").alias("key"))
     f = f.join(names, "key").withColumnRenamed("concept", "cell")
     kind = F.col("type")
-    filled = F.length(F.regexp_replace("value", r"[\s 　]+", "")) > 0
+    filled = F.length(F.regexp_replace("value", r"[\s\u00a0\u3000]+", "")) > 0
     is_text = kind.isin(*TEXT_TYPES)
     numeric = ~(is_text | kind.isin("date", "boolean", "gMonthDay"))
     f = f.withColumn("read", F.when(numeric & filled, read_figure(F.col("value"))))
