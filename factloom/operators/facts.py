@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions import text
+from factloom.operators.ordered import numbered
 
 
 def unique_contexts(contexts: DataFrame) -> DataFrame:
@@ -39,15 +40,16 @@ def prefix(concept: Column) -> Column:
 
 def context_codes(contexts: DataFrame) -> DataFrame:
     """``c-1, c-2, ...`` per filing in document order."""
-    w = Window.partitionBy("filing_id").orderBy("context_pos", "context_id")
-    return unique_contexts(contexts).withColumn("code", F.concat(F.lit("c-"), F.row_number().over(w).cast("string")))
+    n = numbered(unique_contexts(contexts), ["filing_id"], ["context_pos", "context_id"])
+    return n.withColumn("code", F.concat(F.lit("c-"), F.col("rn").cast("string"))).drop("rn")
 
 
 def period_codes(contexts: DataFrame) -> DataFrame:
     """``P1, P2, ...`` for durations by start and ``I1, I2, ...`` for days, per filing."""
     c = unique_contexts(contexts).withColumn("kind", F.when(F.col("period.instant").isNotNull(), "I").when(F.col("period.startdate").isNotNull(), "P"))
-    w = Window.partitionBy("filing_id", "kind").orderBy(F.coalesce("period.instant", "period.startdate"), "context_pos", "context_id")
-    return c.where("kind is not null").withColumn("code", F.concat("kind", F.row_number().over(w).cast("string")))
+    c = c.where("kind is not null").withColumn("begins", F.coalesce("period.instant", "period.startdate"))
+    n = numbered(c, ["filing_id", "kind"], ["begins", "context_pos", "context_id"])
+    return n.withColumn("code", F.concat("kind", F.col("rn").cast("string"))).drop("rn", "begins")
 
 
 def modal_decimals(facts: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from factloom.functions import classify
 from factloom.functions.classify import CATEGORY_WORDS, NAME_PARTS, ROLE_WORDS, SECTION_WORDS, STATEMENT_WORDS, TOP_LEVEL, alternation
 from factloom.operators import facts as ops
 from factloom.operators import statements
+from factloom.operators.ordered import carried
 from factloom.session import small, table
 
 QUERIES, ORACLES = {}, {}
@@ -249,8 +250,8 @@ def w6(spark, d):
 
 @query("op_w7_carry_forward", """select fact_id, last_value(caption ignore nulls) over (partition by filing_id order by pos, fact_id rows between unbounded preceding and current row) as caption from facts""")
 def w7(spark, d):
-    w = Window.partitionBy("filing_id").orderBy("pos", "fact_id").rowsBetween(Window.unboundedPreceding, 0)
-    return table(spark, d, "facts").select("fact_id", F.last("caption", ignorenulls=True).over(w).alias("caption"))
+    f = table(spark, d, "facts").select("fact_id", "filing_id", "pos", "caption")
+    return carried(f, ["filing_id"], ["pos", "fact_id"], "caption", "carried").select("fact_id", F.col("carried").alias("caption"))
 
 
 @query("op_w8_first_occurrence", "select filing_id, unit_id, min(measure) as measure, count(*) as n from units group by all")
