@@ -47,7 +47,8 @@ def read_date(value: Column) -> Column:
         full = F.array_position(F.array(*map(F.lit, MONTHS)), name)
         short = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), name)
         month = F.when(full > 0, full).when(short > 0, short)
-        return F.concat_ws("-", parts[0], F.lpad(month.cast("string"), 2, "0"), F.lpad(parts[2], 2, "0"))
+        dash = F.lit("-")
+        return F.concat(parts[0], dash, F.lpad(month.cast("string"), 2, "0"), dash, F.lpad(parts[2], 2, "0"))
 
     iso = (
         F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text)

@@ -77,8 +77,8 @@ def test_decoding_and_pairs(spark):
     concepts = spark.createDataFrame([("g_A", "g:A", "xbrli:monetaryItemType", "x"), ("g_W", "g:W", "xbrli:massItemType", "x"), ("g_T", "g:T", "xbrli:textBlockItemType", "x")], CONCEPTS)
     units = spark.createDataFrame([("f", "u1", "iso4217:USD", "x"), ("f", "u1", "iso4217:USD", "x"), ("f", None, "utr:kg", "x")], UNITS)
     facts = _facts(spark, [
-        ("f", "c", "g:A", 1, "u1", "6", "5.000", None), ("f", "c", "g_A", 2, "u1", None, "5,000,100", None), ("f", "c", "g:A", 3, "usd", None, "5,001", "$ in thousands"),
-        ("f", "c", "g:A", 4, "u1", "3", "5.000", None),  # 1,000 times less, as stated
+        ("f", "c", "g:A", 1, "u1", "6", "5.000", None), ("f", "c", "g_A", 2, "u1", None, "5,000,100", None), ("f", "c", "g:A", 9, "usd", None, "5,001", "$ in thousands"),
+        ("f", "c", "g:A", 4, "u1", "3", "5.000", None),  # 1,000 times less, as stated, between two that agree
         ("f", "c", "x:Own", 1, "u1", "6", "19.062", None), ("f", "c", "x:Own", 2, None, None, "19,062", "USD ($) $ in Thousands"),  # kind decoded
         ("f", "d", "g:W", 1, "utr:t", None, "2.5", None), ("f", "d", "g:W", 2, "zz", None, "2,500", None),  # unit decoded: kilograms
         ("f", "c", "g:T", 1, None, None, "12", None), ("f", "c", "g:A", 5, "u1", None, None, None), ("f", None, "g:A", 1, "u1", None, "7", None), ("f", "c", "g:A", None, "u1", "6", "5.000", None),
