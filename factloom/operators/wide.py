@@ -38,7 +38,7 @@ def sql_type(item_type: str | None) -> str:
 
 
 def read_date(value: Column) -> Column:
-    """A written date that exists, else null: ISO, compact, month first or year first with slashes, or month names."""
+    """A written date that exists, else null: ISO, compact, slashes with the year first or the month first (the day first where only that exists), or month names."""
     text = F.trim(value)
     named = F.regexp_replace(text, r"^([A-Za-z]+)\.? +(\d{1,2})(?:st|nd|rd|th)?,? +(\d{4})$", "$3~$1~$2")
 
@@ -57,7 +57,8 @@ def read_date(value: Column) -> Column:
         .when(text.rlike(r"^\d{1,2}[/-]\d{1,2}[/-]\d{4}$"), F.regexp_replace(text, r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$", "$3-$1-$2"))
         .when(F.contains(named, F.lit("~")), let(F.split(named, "~"), spelled))
     )
-    return iso.try_cast("date")
+    day_first = F.when(text.rlike(r"^\d{1,2}[/-]\d{1,2}[/-]\d{4}$"), F.regexp_replace(text, r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$", "$3-$2-$1"))
+    return F.coalesce(iso.try_cast("date"), day_first.try_cast("date"))
 
 
 def read_month_day(value: Column) -> Column:

@@ -30,7 +30,7 @@ def test_typed_columns_and_misfits(spark):
 
 
 def test_dates(spark):
-    good = ["2020-02-29", "20200229", "02/29/2020", "2020/02/29", "February 29, 2020", "Feb 29, 2020"]
+    good = ["2020-02-29", "20200229", "02/29/2020", "2020/02/29", "February 29, 2020", "Feb 29, 2020", "29/02/2020"]
     bad = ["2021-02-29", "20211301", "13/45/2022", "Febuary 1, 2020", "on closing", "", " ", None, "0"]
     got = {r["v"]: r["d"] for r in spark.createDataFrame([(v,) for v in good + bad], "v string").select("v", wide.read_date(F.col("v")).alias("d")).collect()}
     assert all(got[v] == datetime.date(2020, 2, 29) for v in good) and all(got[v] is None for v in bad)
