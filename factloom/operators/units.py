@@ -335,15 +335,16 @@ def restated_pairs(normalised: DataFrame) -> DataFrame:
     size = F.abs(q)
     width = float(-np.log1p(-TOLERANCE)) * 1.000001
     zero = size < 1e-9
-    band = F.when(zero, F.lit(-(2**40))).otherwise(F.floor(F.log(size) / F.lit(width)))
-    key = F.xxhash64("filing_id", "contextref", "concept")
+    band = F.floor(F.log(size) / F.lit(width))
+    # 128 bits stand for the group in the shuffle: far fewer bytes than its three texts.
+    group = [F.xxhash64("filing_id", "contextref", "concept").alias("k1"), F.xxhash64(F.lit(1), "concept", "contextref", "filing_id").alias("k2")]
     rows = normalised.where("filing_id is not null and contextref is not null and concept is not null and quantity is not null and not isnan(quantity)")
-    rows = rows.select("filing_id", "contextref", "concept", key.alias("key"), "fact_id", "figure", "quantity", F.when(zero, 0).otherwise(F.signum(q)).cast("int").alias("sign"), band.cast("bigint").alias("band"))
-    rows = durable(rows.distinct())
-    a = rows.withColumn("at", F.explode(F.array("band", F.col("band") + 1))).alias("a")
-    b = rows.withColumn("at", F.col("band")).alias("b")
+    rows = durable(rows.select(*group, "fact_id", "figure", "quantity", F.when(zero, F.lit(-(2**40))).otherwise(band * 2 + F.when(q < 0, 1).otherwise(0)).cast("bigint").alias("band")))
+    # Bands of one sign are two apart; the next one up is reached from below only.
+    a = rows.withColumn("at", F.explode(F.array("band", F.col("band") + 2))).alias("a")
+    b = rows.withColumnRenamed("band", "at").alias("b")
     near = F.abs(F.col("a.quantity") - F.col("b.quantity")) <= TOLERANCE * F.greatest(F.abs("a.quantity"), F.abs("b.quantity"))
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("key", "sign", "at", "filing_id", "contextref", "concept")]
-    once = (F.col("a.band") < F.col("b.band")) | (F.col("a.fact_id") < F.col("b.fact_id"))
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("k1", "k2", "at")]
+    once = (F.col("a.band") < F.col("b.at")) | (F.col("a.fact_id") < F.col("b.fact_id"))
     pairs = a.join(b, [*same, F.col("a.figure") != F.col("b.figure"), once, near, F.col("a.fact_id") != F.col("b.fact_id")])
     return pairs.select(F.least("a.fact_id", "b.fact_id").alias("fact_id_a"), F.greatest("a.fact_id", "b.fact_id").alias("fact_id_b")).distinct()
