@@ -141,7 +141,7 @@ def plan_tables(edges: list[tuple[str, str, bool, bool, bool]]) -> dict[str, str
     return plan
 
 
-_SHRED = "export_id bigint, filing_id string, element string, row_key string, parent_element string, parent_key string, item_key string, ord int, fields map<string,string>"
+_SHRED = "export_id bigint, filing_id string, element string, row_key string, parent_element string, parent_key string, item_key string, ord int, owner_id string, fields map<string,string>"
 
 
 def shred(exports: DataFrame, plan: dict[str, str]) -> DataFrame:
@@ -149,7 +149,8 @@ def shred(exports: DataFrame, plan: dict[str, str]) -> DataFrame:
 
     ``row_key`` is unique within ``export_id``; ``parent_element`` and ``parent_key`` are
     the foreign key; ``item_key`` is the data key of a keyed collection, ``ord`` the place
-    among siblings; ``fields`` holds inlined scalars under dotted paths. Null, blank and
+    among siblings; ``owner_id`` is the natural id (own id, else key) of the nearest context
+    above; ``fields`` holds inlined scalars under dotted paths. Null, blank and
     cut-off payloads give no row.
     """
 
@@ -167,25 +168,27 @@ def shred(exports: DataFrame, plan: dict[str, str]) -> DataFrame:
                 elif v is not None and not isinstance(v, list):
                     fields[f"{path}{key}"] = v if isinstance(v, str) else json.dumps(v)
 
-    def emit(node, element: str, key: str, parent: tuple, item_key, ord_: int, out: list) -> None:
+    def emit(node, element: str, key: str, parent: tuple, item_key, ord_: int, owner, out: list) -> None:
         fields: dict = {}
         below: list = []
         if isinstance(node, dict):
             fill(node, "", fields, below)
         else:
             fields["value"] = node if isinstance(node, str) else json.dumps(node)
-        out.append((element, key, *parent, item_key, ord_, list(fields.items())))
+        out.append((element, key, *parent, item_key, ord_, owner, list(fields.items())))
+        if element == "contexts":
+            owner = fields["id"] if fields.get("id", "").strip() else item_key
         seen: dict[str, int] = {}
         for child, value in below:
             for k, item in _items(child, value):
                 if item is None:
                     continue
                 n = seen[child] = seen.get(child, -1) + 1
-                emit(item, child, f"{key}/{child}.{n}", (element, key), k, n, out)
+                emit(item, child, f"{key}/{child}.{n}", (element, key), k, n, owner, out)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["export_id", "filing_id", "element", "row_key", "parent_element", "parent_key", "item_key", "ord", "fields"]
-        kinds = [pa.int64(), pa.string(), *[pa.string()] * 5, pa.int32(), pa.map_(pa.string(), pa.string())]
+        names = ["export_id", "filing_id", "element", "row_key", "parent_element", "parent_key", "item_key", "ord", "owner_id", "fields"]
+        kinds = [pa.int64(), pa.string(), *[pa.string()] * 5, pa.int32(), pa.string(), pa.map_(pa.string(), pa.string())]
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
@@ -194,7 +197,7 @@ def shred(exports: DataFrame, plan: dict[str, str]) -> DataFrame:
                     value = read_payload(text)
                     out: list = []
                     for i, record in enumerate(records(value) if value is not None else ()):
-                        emit(record, "record", f"r{i}", (None, None), None, i, out)
+                        emit(record, "record", f"r{i}", (None, None), None, i, None, out)
                     rows += [(export, filing, *r) for r in out]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
@@ -226,7 +229,7 @@ def flatten(exports: DataFrame) -> dict[str, DataFrame]:
     # A dimension is a member of a segment, or of the explicit members within one.
     owner = F.regexp_extract("row_key", r"^(.*?/contexts\.\d+)", 1)
     dims = rows.where(F.col("element").isin("segment", "explicitMember")).select(
-        "export_id", "filing_id", "row_key", owner.alias("parent_key"), "ord",
+        "export_id", "filing_id", "row_key", owner.alias("parent_key"), "ord", F.col("owner_id").alias("context_id"),
         F.coalesce(f("dimension"), F.when((F.col("element") == "segment") & f("value").isNotNull(), F.col("item_key"))).alias("dimension"),
         F.coalesce(f("member"), f("value")).alias("member"),
     ).where("dimension is not null and member is not null")
@@ -242,6 +245,5 @@ def flatten(exports: DataFrame) -> dict[str, DataFrame]:
 
 def context_dimensions(exports: DataFrame) -> DataFrame:
     """Distinct (export_id, context_id, dimension, member) of all complete payloads."""
-    tables = flatten(exports)
-    contexts = tables["contexts"].where("context_id is not null").select("export_id", F.col("row_key").alias("parent_key"), "context_id")
-    return tables["dimensions"].join(contexts, ["export_id", "parent_key"]).select("export_id", "context_id", "dimension", "member").distinct()
+    found = flatten(exports)["dimensions"].where("context_id is not null")
+    return found.select("export_id", "context_id", "dimension", "member").distinct()
