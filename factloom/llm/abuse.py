@@ -30,8 +30,12 @@ from pyspark.sql import functions as F
 from factloom.llm import seeds
 from factloom.session import small
 
-#: Hash buckets, latent factors, longest stretch of terms that is scored as one sentence.
+#: Hash buckets, latent factors, longest stretch of words or ideographs that is scored as one sentence.
 BUCKETS, FACTORS, LONGEST = 1 << 16, 8, 32
+#: Longer stretches are scored in windows of LONGEST that begin this far apart.
+STRIDE = LONGEST // 2
+#: Terms in a window, at most: an ideograph brings the pair with the next one along.
+WIDTH = 2 * LONGEST
 #: Labelled documents used for training, at most: the first by a hash of their id.
 LABELLED_LIMIT = 10_000
 #: Sentences taken from one labelled document, at most (those longer are sampled evenly).
@@ -170,8 +174,10 @@ def _points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sentences(texts: pa.Array, state: _Worker) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(terms, starts, text)``: all buckets in order, where each sentence starts among them, and the text each is from.
+    """``(terms, starts, text)``: the buckets of all sentences, where each sentence starts among them, and the text each is from.
 
+    A sentence of more than LONGEST words or ideographs becomes overlapping windows, whose
+    shared terms are repeated: what is at most STRIDE apart meets in some window.
     Texts must not be null. Sentences without terms are left out.
     """
     texts = texts.cast(pa.large_string())
@@ -244,19 +250,33 @@ def sentences(texts: pa.Array, state: _Worker) -> tuple[np.ndarray, np.ndarray,
         mixed = (terms[pair] * 40503 + terms[pair + 1] * 30011) % (BUCKETS - 1) + 1
         terms, number = np.concatenate([terms, mixed]), np.concatenate([number, number[pair]])
         where = np.concatenate([at, at[pair]])
+        # A pair takes no room of its own beside its first ideograph.
+        room = np.ones(len(terms), dtype=np.int64)
+        room[len(at) :] = terms[pair] == NOTHING
         order = np.lexsort((where, number)) if len(pair) else slice(None)
-        terms, number, where = terms[order], number[order], where[order]
+        terms, number, where, room = terms[order], number[order], where[order], room[order]
     else:
-        where = at
+        where, room = at, np.ones(len(terms), dtype=np.int64)
     keep = terms != NOTHING
-    terms, number, where = terms[keep], number[keep], where[keep]
+    terms, number, where, room = terms[keep], number[keep], where[keep], room[keep]
     if not len(terms):
         return empty, empty, empty
-    # Long stretches without a stop are cut, so that chance meetings do not add up.
+    # Long stretches without a stop become windows, so that chance meetings do not add up.
     new = np.empty(len(terms), dtype=bool)
     new[0], new[1:] = True, number[1:] != number[:-1]
-    place = np.arange(len(terms)) - np.maximum.accumulate(np.where(new, np.arange(len(terms)), 0))
-    starts = np.flatnonzero(new | (place % LONGEST == 0))
+    first_term = np.flatnonzero(new)
+    past = np.append(first_term[1:], len(terms))
+    used = np.cumsum(room)
+    before = used[first_term] - room[first_term]
+    size = used[past - 1] - before
+    windows = 1 + np.maximum(0, -(-(size - LONGEST) // STRIDE))
+    owner = np.repeat(np.arange(len(first_term)), windows)
+    offset = (np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)) * STRIDE
+    low = np.searchsorted(used, before[owner] + offset + 1)
+    high = np.minimum(np.searchsorted(used, before[owner] + offset + LONGEST, side="right"), past[owner])
+    starts = np.cumsum(high - low) - (high - low)
+    taken = np.repeat(low - starts, high - low) + np.arange(int((high - low).sum()))
+    terms, where = terms[taken], where[taken]
     nonempty = np.flatnonzero(np.diff(offsets) > 0)
     text = nonempty[np.searchsorted(text_start, where[starts], side="right") - 1]
     return terms, starts, text
@@ -274,7 +294,7 @@ def _padded(terms: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sentences as rows of buckets, filled up with nothing."""
     ends = np.append(starts[1:], len(terms))
     place = np.arange(len(terms)) - np.repeat(starts, ends - starts)
-    out = np.zeros((len(starts), LONGEST), dtype=np.uint16)
+    out = np.zeros((len(starts), WIDTH), dtype=np.uint16)
     out[np.repeat(np.arange(len(starts)), ends - starts), place] = terms
     return out
 
@@ -346,14 +366,16 @@ def fit(bags: list[tuple[int, np.ndarray]]) -> dict:
     weights = np.where(labels == 1, 1.0, 1.5)
     of = lambda label: [r for y, r in bags if y == label and len(r)]
     good, bad, rest = of(0), of(1), of(-1)
-    stacked = lambda group: np.unique(np.concatenate(group), axis=0) if group else np.zeros((0, LONGEST), dtype=np.uint16)
-    harmless, other = stacked(good), stacked(rest)
+    stacked = lambda group: np.unique(np.concatenate(group), axis=0, return_counts=True) if group else (np.zeros((0, WIDTH), dtype=np.uint16), np.zeros(0))
+    (harmless, n_harmless), (other, n_other) = stacked(good), stacked(rest)
+    # What many harmless texts say counts for more, by the logarithm.
+    much, more = 1 + np.log(np.maximum(n_harmless, 1)), 1 + np.log(np.maximum(n_other, 1))
     held = {r.tobytes() for r in harmless}
     # Terms much more frequent in offensive texts than in the others help the first choice.
     clean = good + rest
     odds = np.log((_frequency(bad) + 0.5) / (len(bad) + 1.0)) - np.log((_frequency(clean) + 0.5) / (len(clean) + 1.0))
     odds[NOTHING] = 0.0
-    model = train(np.concatenate([rows, harmless]), np.concatenate([labels, np.zeros(len(harmless))]), np.concatenate([weights, np.full(len(harmless), 0.3)]))
+    model = train(np.concatenate([rows, harmless]), np.concatenate([labels, np.zeros(len(harmless))]), np.concatenate([weights, 0.3 * much]))
     for turn in range(ROUNDS if bad or clean else 0):
         taken = []
         for r in bad:
@@ -366,8 +388,8 @@ def fit(bags: list[tuple[int, np.ndarray]]) -> dict:
                     if turn == 0 or score[i] > DOUBTFUL:
                         taken.append(r[i])
                     break
-        unsaid = other[_score_rows(other, model) < SUSPECT] if len(other) else other
-        parts = [(rows, labels, weights), (harmless, 0.0, 1.0), (unsaid, 0.0, 0.5), (np.array(taken, dtype=np.uint16).reshape(-1, LONGEST), 1.0, 2.0)]
+        calm = _score_rows(other, model) < SUSPECT
+        parts = [(rows, labels, weights), (harmless, 0.0, much), (other[calm], 0.0, 0.5 * more[calm]), (np.array(taken, dtype=np.uint16).reshape(-1, WIDTH), 1.0, 2.0)]
         x = np.concatenate([p[0] for p in parts])
         y = np.concatenate([np.broadcast_to(p[1], len(p[0])) for p in parts])
         g = np.concatenate([np.broadcast_to(p[2], len(p[0])) for p in parts])
@@ -419,7 +441,7 @@ def labelled_bags(documents: DataFrame, labels: DataFrame, limit: int = LABELLED
             yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in out], pa.int32()), pa.array([r for _, r in out], pa.binary())], names=["label", "rows"])
 
     found = joined.mapInArrow(run, "label int, rows binary").collect()
-    bags = [(r["label"], np.frombuffer(bytes(r["rows"]), dtype=np.uint16).reshape(-1, LONGEST)) for r in found]
+    bags = [(r["label"], np.frombuffer(bytes(r["rows"]), dtype=np.uint16).reshape(-1, WIDTH)) for r in found]
     # The order of a collected result is chance; training must not depend on it.
     return sorted(bags, key=lambda b: (b[0], zlib.crc32(b[1].tobytes()), len(b[1])))
 

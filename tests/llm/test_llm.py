@@ -216,3 +216,18 @@ def test_opinions(spark):
     rows = [(1, 1, "a", 1, TS), (2, 1, "a", 0, TS + datetime.timedelta(1)), (3, 2, "a", 1, TS), (4, 2, "b", 0, TS), (5, 3, "a", None, TS), (6, None, "a", 1, TS), (7, 4, "a", 1, TS), (8, 4, "b", 1, None)]
     labels = spark.createDataFrame(rows, "label_id bigint, doc_id bigint, reviewer string, offensive int, reviewed_at timestamp")
     assert {tuple(r) for r in abuse.opinions(labels).collect()} == {(1, 0), (4, 1)}
+
+
+def test_long_sentences_become_overlapping_windows():
+    state = abuse._worker()
+    windows = lambda text: [set(w.tolist()) for w in np.split(*(lambda t, s, _: (t, s[1:]))(*abuse.sentences(pa.array([text]), state)))]
+    words = [f"{a}{b}" for a in "bcdfghjklmnp" for b in ("aro", "elu", "ino", "ota", "upe", "yka")][:70]
+    ids = [abuse.term(w) for w in words]
+    found = windows(" ".join(words))
+    assert all(any({a, b} <= w for w in found) for i, a in enumerate(ids) for b in ids[i : i + abuse.STRIDE + 1])
+    assert set(ids) == set().union(*found) and max(map(len, found)) == abuse.LONGEST and len(windows(" ".join(words[:32]))) == 1
+    # Ideographs count once, with the pair they begin.
+    chars = "".join(map(chr, range(0x4E00, 0x4E00 + abuse.LONGEST)))
+    assert [len(w) for w in windows(chars)] == [2 * abuse.LONGEST - 1] and len(windows(chars + "一")) == 2
+    terms, starts, text = abuse.sentences(pa.array([chars * 3, None, "・" * 200, "an end"]).fill_null(""), state)
+    assert abuse._padded(terms, starts).shape == (len(starts), abuse.WIDTH) and set(text.tolist()) <= {0, 2, 3}
