@@ -61,22 +61,30 @@ def read_fact_lines(texts: DataFrame) -> DataFrame:
 
 
 def block_lines(facts: DataFrame) -> DataFrame:
-    """Facts as grouped lines: ``@CONTEXT: c``, ``@PREFIX: p``, then ``concept|value`` rows."""
-    f = facts.where(F.contains("name", F.lit(":"))).select("filing_id", "fact_id", "contextref", F.split("name", ":")[0].alias("prefix"), F.split("name", ":")[1].alias("local"), F.regexp_replace(F.coalesce("value", F.lit("")), r"[\r\n|]+", " ").alias("value"))
+    """Facts as grouped lines: ``@CONTEXT: c``, ``@PREFIX: p``, then ``concept|value`` rows.
+
+    Every fact has a line. Names without a colon have the empty prefix, whose facts come
+    straight after the context without a line of its own; a null context or name is empty.
+    """
+    name, colon = F.coalesce("name", F.lit("")), F.instr(F.coalesce("name", F.lit("")), ":")
+    f = facts.select("filing_id", "fact_id", F.coalesce("contextref", F.lit("")).alias("contextref"), F.when(colon > 0, F.left(name, colon - 1)).otherwise("").alias("prefix"), F.when(colon > 0, F.substr(name, colon + 1)).otherwise(name).alias("local"), F.regexp_replace(F.coalesce("value", F.lit("")), r"[\r\n|]+", " ").alias("value"))
     heads = f.select("filing_id", "contextref").distinct()
     line = lambda df, kind, text: df.select("filing_id", "contextref", (F.col("prefix") if "prefix" in df.columns else F.lit("")).alias("prefix"), F.lit(kind).alias("kind"), (F.col("fact_id") if "fact_id" in df.columns else F.lit(0)).cast("bigint").alias("fact_id"), text.alias("text"))
     out = line(heads, 0, F.concat(F.lit("@CONTEXT: "), "contextref"))
-    out = out.unionByName(line(f.select("filing_id", "contextref", "prefix").distinct(), 1, F.concat(F.lit("@PREFIX: "), "prefix")))
+    out = out.unionByName(line(f.select("filing_id", "contextref", "prefix").where("prefix <> ''").distinct(), 1, F.concat(F.lit("@PREFIX: "), "prefix")))
     return out.unionByName(line(f, 2, F.concat_ws("|", "local", "value")))
 
 
 def read_block_lines(lines: DataFrame, order: list[str]) -> DataFrame:
-    """Facts out of grouped lines: the context and prefix last seen are carried forward in the given order."""
+    """Facts out of grouped lines: the context and prefix last seen are carried forward in the given order; a context begins with the empty prefix."""
     w = Window.partitionBy("filing_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    seen = lambda tag: F.last(F.when(F.col("text").startswith(f"@{tag}: "), F.substring("text", len(tag) + 4, 10_000)), ignorenulls=True).over(w)
-    read = lines.withColumn("contextref", seen("CONTEXT")).withColumn("prefix", seen("PREFIX")).where(~F.col("text").startswith("@"))
+    is_, rest = lambda tag: F.col("text").startswith(f"@{tag}: "), lambda tag: F.substring("text", len(tag) + 4, 10_000)
+    context = F.last(F.when(is_("CONTEXT"), rest("CONTEXT")), ignorenulls=True).over(w)
+    prefix = F.last(F.when(is_("CONTEXT"), "").when(is_("PREFIX"), rest("PREFIX")), ignorenulls=True).over(w)
+    read = lines.withColumn("contextref", F.nullif(context, F.lit(""))).withColumn("prefix", prefix).where(~(is_("CONTEXT") | is_("PREFIX")))
     parts = F.split("text", r"\|", 2)
-    return read.select("filing_id", "contextref", F.concat("prefix", F.lit(":"), parts[0]).alias("name"), parts[1].alias("value"))
+    name = F.when(F.col("prefix") == "", parts[0]).otherwise(F.concat("prefix", F.lit(":"), parts[0]))
+    return read.select("filing_id", "contextref", F.nullif(name, F.lit("")).alias("name"), parts[1].alias("value"))
 
 
 def consolidated_contexts(facts: DataFrame) -> DataFrame:

@@ -415,8 +415,18 @@ def t3(spark, d):
 
 @query("op_t5_t6_long_rows", f"""select f.fact_id, {_statement('name')} || '|' || name || '|' || coalesce(value, '-') || '|' || contextref as line from facts f where contains(name, ':')""")
 def t5(spark, d):
-    line = F.concat_ws("|", classify.statement_type(F.col("name")), "name", F.coalesce("value", F.lit("-")), "contextref")
-    return table(spark, d, "facts").where(F.contains("name", F.lit(":"))).select("fact_id", line.alias("line"))
+    # As its SQL: only the facts named with a prefix; the next query has all.
+    return _long_rows(table(spark, d, "facts").where(F.contains("name", F.lit(":"))))
+
+
+@query("op_t5_t6_all_long_rows", f"""select f.fact_id, {_statement('name')} || '|' || coalesce(name, '') || '|' || coalesce(value, '-') || '|' || coalesce(contextref, '') as line from facts f""")
+def t5_all(spark, d):
+    return _long_rows(table(spark, d, "facts"))
+
+
+def _long_rows(facts):
+    e = lambda c: F.coalesce(c, F.lit(""))
+    return facts.select("fact_id", F.concat_ws("|", classify.statement_type(F.col("name")), e("name"), F.coalesce("value", F.lit("-")), e("contextref")).alias("line"))
 
 
 @query("op_n10_unpivot", """select l_orderkey, l_partkey, l_suppkey, l_linenumber, measure, value from (unpivot (select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax from lineitem)

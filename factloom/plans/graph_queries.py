@@ -253,7 +253,17 @@ def s40(spark, d):
 
 @query("op_s38_grouped_lines_read_back", f"select filing_id, contextref, split_part(name, ':', 1) || ':' || split_part(name, ':', 2) as name, {_CLEANED.replace('{c}', 'value')} as value from facts where contains(name, ':')")
 def s38(spark, d):
-    return render.read_block_lines(render.block_lines(table(spark, d, "facts")), ["contextref", F.col("prefix"), "kind", "fact_id"])
+    # As its SQL: only the facts named with a prefix; the next query has all.
+    return _read_back(table(spark, d, "facts").where(F.contains("name", F.lit(":"))))
+
+
+@query("op_s38_all_grouped_lines_read_back", f"select filing_id, contextref, name, {_CLEANED.replace('{c}', 'value')} as value from facts")
+def s38_all(spark, d):
+    return _read_back(table(spark, d, "facts"))
+
+
+def _read_back(facts):
+    return render.read_block_lines(render.block_lines(facts), ["contextref", F.col("prefix"), "kind", "fact_id"])
 
 
 @query("op_n7_consolidated_contexts", r"""with i as (select distinct filing_id, contextref, 'c-' || dense_rank() over (partition by filing_id order by contextref) as code from facts where regexp_matches(contextref, '^i[0-9a-f]{32}_[DI]'))

@@ -170,3 +170,10 @@ def test_codes_and_joins_keep_rows(load):
 ])
 def test_empty_tables(empty, run):
     assert run(empty).count() == 0
+
+
+def test_grouped_lines_keep_every_fact(spark):
+    rows = [("f", 1, "c1", "us-gaap:Assets", "5"), ("f", 2, "c1", "us-gaap_Assets", "6"), ("f", 3, "c2", "dei_Name", "x"), ("f", 4, None, "us-gaap:Cash", "7"), ("f", 5, "c2", None, "8"), ("f", 6, "c2", "@PLAIN", None), ("f", 7, "c2", "a:b:c", "9")]
+    df = spark.createDataFrame(rows, "filing_id string, fact_id bigint, contextref string, name string, value string")
+    got = render.read_block_lines(render.block_lines(df), ["contextref", "prefix", "kind", "fact_id"])
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(str((f, c, n, v or "")) for f, _, c, n, v in rows)
