@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.functions.text import local_name
+from factloom.session import durable
 
 # Ends of parent names and the ends of their children's names.
 PATTERNS = {
@@ -80,6 +81,29 @@ def tree(arcs: DataFrame, tops: DataFrame, max_depth: int = 3, max_children: int
     return out
 
 
+def whole_tree(arcs: DataFrame, tops: DataFrame) -> DataFrame:
+    """The whole trees below ``tops``: rows as of ``tree``, with all children and every depth.
+
+    Levels are added until one has no rows; a concept that is its own ancestor is marked
+    and not followed, so the depth is bounded by the number of concepts. Each level is
+    checkpointed: the next one needs only that.
+    """
+    w = Window.partitionBy("parent").orderBy("ord", "child")
+    kept = arcs.withColumn("n", F.row_number().over(w)).select("parent", "child", "n")
+    level = tops.select(F.col("concept").alias("root"), "concept", F.lit(0).alias("depth"), F.array("concept").alias("path"), F.col("concept").alias("path_key"), F.lit(False).alias("is_cycle"))
+    out, depth = level, 0
+    while True:
+        depth += 1
+        step = level.where("not is_cycle").join(kept, F.col("concept") == F.col("parent"))
+        level = durable(step.select(
+            "root", F.col("child").alias("concept"), F.lit(depth).alias("depth"), F.concat("path", F.array("child")).alias("path"),
+            F.concat("path_key", F.lit("/"), F.lpad(F.col("n").cast("string"), 10, "0")).alias("path_key"), F.array_contains("path", F.col("child")).alias("is_cycle"),
+        ))
+        if level.isEmpty():
+            return out
+        out = out.unionByName(level)
+
+
 def equations(arcs: DataFrame) -> DataFrame:
     """(parent, equation) of weighted arcs, children by order."""
     term = F.concat(F.when(F.col("weight") < 0, "- ").otherwise("+ "), F.when(F.abs("weight") == 1, "").otherwise(F.concat(F.abs("weight").cast("string"), F.lit(" * "))), "child")

@@ -73,6 +73,15 @@ def h8(spark, d):
     return hierarchy.tree(_geo(spark, d), tops).drop("path")
 
 
+@query("op_h9_h10_whole_tree", f"""with recursive {_GEO}, kept as (select parent, child, row_number() over (partition by parent order by ord, child) as n from arcs),
+   t as (select r_name as root, r_name as concept, 0 as depth, [r_name] as path, r_name as path_key, false as is_cycle from region union all
+    select root, child, depth + 1, list_append(path, child), path_key || '/' || lpad(cast(n as varchar), 10, '0'), list_contains(path, child) from t join kept on t.concept = kept.parent where not is_cycle)
+  select root, concept, depth, path_key, is_cycle from t""")
+def h9(spark, d):
+    tops = table(spark, d, "region").select(F.col("r_name").alias("concept"))
+    return hierarchy.whole_tree(_geo(spark, d), tops).drop("path")
+
+
 @query("op_h2_h3_h12_h13_adjacency", f"with {_GEO} select parent, count(*) as n, string_agg(child, ',' order by ord, child) as children from arcs group by 1")
 def h13(spark, d):
     kids = F.transform(F.array_sort(F.collect_list(F.struct("ord", "child"))), lambda s: s["child"])

@@ -177,3 +177,10 @@ def test_grouped_lines_keep_every_fact(spark):
     df = spark.createDataFrame(rows, "filing_id string, fact_id bigint, contextref string, name string, value string")
     got = render.read_block_lines(render.block_lines(df), ["contextref", "prefix", "kind", "fact_id"])
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(str((f, c, n, v or "")) for f, _, c, n, v in rows)
+
+
+def test_whole_tree_has_all_children_and_depths(spark):
+    arcs = [("r", f"c{i}", float(i)) for i in range(12)] + [(f"d{i}" if i else "c11", f"d{i + 1}", 0.0) for i in range(6)] + [("d6", "c11", 0.0)]
+    df, tops = spark.createDataFrame(arcs, "parent string, child string, ord double"), spark.createDataFrame([("r",)], "concept string")
+    got = {(r["concept"], r["depth"], r["is_cycle"]) for r in hierarchy.whole_tree(df, tops).collect()}
+    assert got == {("r", 0, False), *((f"c{i}", 1, False) for i in range(12)), *((f"d{i}", i + 1, False) for i in range(1, 7)), ("c11", 8, True)}
