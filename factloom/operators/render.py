@@ -127,18 +127,29 @@ def spliced(document: Column, block: Column, marker: str = "@STATEMENTS") -> Col
     )
 
 
-def sections_of(texts: DataFrame, patterns: list[tuple[str, str]]) -> DataFrame:
+def sections_of(texts: DataFrame, patterns: list[tuple[str, str]] | dict[str, list[tuple[str, str]]], lengths: tuple[int, int] | None = (6, 99)) -> DataFrame:
     """(filing_id, section_id, start, end): where the sections of documents (filing_id, text) are.
 
-    A heading is a line of 6 to 99 characters that a pattern finds; the first pattern in the
-    list wins a line, the last line wins a section, and a section ends where the next one starts.
+    A heading is a line, of as many characters as ``lengths`` says, that a pattern finds in
+    any case; the first pattern in the list wins a line, the last line wins a section, and a
+    section ends where the next one starts. Lists by filing type go by the documents'
+    ``filing_type`` however it is spelled; that of the key "" is for all other types and amendments.
     """
-    line = texts.select("filing_id", F.length("text").alias("total"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    of = lambda ps: F.coalesce(*[F.when(F.col("line").rlike(f"(?i){p}"), s) for p, s in ps])
+    section, kept = (of(patterns), []) if isinstance(patterns, list) else (of(patterns[""]), ["form"])
+    if kept:
+        plain = F.regexp_replace(F.upper(F.coalesce("filing_type", F.lit(""))), r"^\s*(FORM\s+)?|\s+$", "")
+        texts = texts.withColumn("form", F.regexp_replace(plain, r"^10-?([KQ])$", "10-$1"))
+        for form in sorted(set(patterns) - {""}):
+            section = F.when(F.col("form") == form, of(patterns[form])).otherwise(section)
+    line = texts.select("filing_id", *kept, F.length("text").alias("total"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    if lengths:
+        section = F.when(F.length(F.trim("line")).between(*lengths), section)
+    # The lines themselves are left behind before the shuffle.
+    line = line.select("filing_id", "total", "n", F.length("line").alias("size"), section.alias("section_id"))
     w = Window.partitionBy("filing_id").orderBy("n")
-    line = line.withColumn("start", F.coalesce(F.sum(F.length("line") + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    line = line.where(F.length(F.trim("line")).between(6, 99))
-    section = F.coalesce(*[F.when(F.col("line").rlike(p), s) for s, p in patterns])
-    found = line.withColumn("section_id", section).where("section_id is not null")
+    line = line.withColumn("start", F.coalesce(F.sum(F.col("size") + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    found = line.where("section_id is not null")
     last = found.groupBy("filing_id", "section_id").agg(F.max_by(F.struct("start", "total"), "n").alias("m")).select("filing_id", "section_id", "m.*")
     return last.select("filing_id", "section_id", "start", F.coalesce(F.lead("start").over(Window.partitionBy("filing_id").orderBy("start")), F.col("total")).alias("end"))
 

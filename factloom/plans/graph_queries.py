@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factloom.functions.text import local_name
-from factloom.operators import evidence, hierarchy, render
+from factloom.operators import evidence, headings, hierarchy, render
 from factloom.operators.catalogue import partition_paths
 from factloom.operators.facts import unique_contexts
 from factloom.sources import markup
@@ -301,8 +301,10 @@ def k9(spark, d):
 
 @query("op_t8_t10_sections", None)
 def t8(spark, d):
-    patterns = [("RISK", r"(?i)risk factors"), ("LEGAL", r"(?i)legal matters"), ("LIQUIDITY", r"(?i)liquidity"), ("OVERVIEW", r"(?i)overview")]
-    return render.sections_of(table(spark, d, "documents").select(F.col("doc_id").alias("filing_id"), "text"), patterns)
+    texts = table(spark, d, "documents").select(F.col("doc_id").alias("filing_id"), "text", "filing_type")
+    rule = lambda name, found: found.withColumn("rule", F.lit(name))
+    found = rule("T8", render.sections_of(texts, headings.DOCUMENT)).unionByName(rule("T10", render.sections_of(texts, headings.BY_TYPE, None)))
+    return found.unionByName(rule("PLAIN", render.sections_of(texts, headings.PLAIN)))
 
 
 @query("op_t11_section_markers", "select section_key, length('@SECTION_START: ' || section_id || chr(10) || text_content || chr(10) || '@SECTION_END: ' || section_id) as n from sections")

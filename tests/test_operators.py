@@ -184,3 +184,17 @@ def test_whole_tree_has_all_children_and_depths(spark):
     df, tops = spark.createDataFrame(arcs, "parent string, child string, ord double"), spark.createDataFrame([("r",)], "concept string")
     got = {(r["concept"], r["depth"], r["is_cycle"]) for r in hierarchy.whole_tree(df, tops).collect()}
     assert got == {("r", 0, False), *((f"c{i}", 1, False) for i in range(12)), *((f"d{i}", i + 1, False) for i in range(1, 7)), ("c11", 8, True)}
+
+
+def test_sections_by_the_whole_lists(spark):
+    from factloom.operators import headings
+
+    assert len(headings.DOCUMENT) == 33 and len(headings.SUBSECTIONS) == 11 and [len(v) - 11 for v in headings.BY_TYPE.values()] == [20, 15, 4]
+    text = "Item 2. Properties\nplants\nITEM 9A. Controls and Procedures\nfine\nNotes to Consolidated Financial Statements\n" + "They discuss liquidity and capital resources and more. " * 4
+    df = spark.createDataFrame([("k", text, " form 10k "), ("q", text, "10-Q"), ("a", text, "10-K/A"), ("n", text, None)], "filing_id string, text string, filing_type string")
+    ids = lambda got: {k: [r["section_id"] for r in got.where(F.col("filing_id") == k).orderBy("start").collect()] for k in "kqan"}
+    assert set(map(tuple, ids(render.sections_of(df, headings.DOCUMENT)).values())) == {("ITEM_2_PROPERTIES", "ITEM_9A_CONTROLS", "NOTES_TO_FINANCIAL_STATEMENTS")}
+    got = ids(render.sections_of(df, headings.BY_TYPE, None))
+    assert got["k"] == ["ITEM_2_PROPERTIES", "ITEM_9A_CONTROLS", "LIQUIDITY_AND_CAPITAL"]
+    assert got["q"] == ["CONTROLS_AND_PROCEDURES", "NOTES_TO_FINANCIAL_STATEMENTS", "LIQUIDITY_AND_CAPITAL"]
+    assert got["a"] == got["n"] == ["CONTROLS_AND_PROCEDURES", "FINANCIAL_STATEMENTS", "LIQUIDITY_AND_CAPITAL"]
