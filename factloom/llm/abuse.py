@@ -38,7 +38,7 @@ STRIDE = LONGEST // 2
 WIDTH = 2 * LONGEST
 #: Labelled documents used for training, at most: the first by a hash of their id.
 LABELLED_LIMIT = 10_000
-#: Sentences taken from one labelled document, at most (those longer are sampled evenly).
+#: Sentences taken from one document without opinions, at most (those longer are sampled evenly); labelled ones keep all.
 SENTENCES_PER_DOC = 200
 ROUNDS, EPOCHS, RATE, DECAY = 3, 12, 0.12, 3e-5
 #: Documents without opinions used as mostly harmless ones, at most; sentences of theirs above SUSPECT are left out,
@@ -435,7 +435,7 @@ def labelled_bags(documents: DataFrame, labels: DataFrame, limit: int = LABELLED
             for i, y in enumerate(ys):
                 lo, hi = np.searchsorted(text, [i, i + 1])
                 part = np.unique(rows[lo:hi], axis=0)
-                if len(part) > SENTENCES_PER_DOC:
+                if y < 0 and len(part) > SENTENCES_PER_DOC:
                     part = part[np.linspace(0, len(part) - 1, SENTENCES_PER_DOC).astype(int)]
                 out.append((y, part.tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in out], pa.int32()), pa.array([r for _, r in out], pa.binary())], names=["label", "rows"])

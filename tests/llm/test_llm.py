@@ -231,3 +231,11 @@ def test_long_sentences_become_overlapping_windows():
     assert [len(w) for w in windows(chars)] == [2 * abuse.LONGEST - 1] and len(windows(chars + "一")) == 2
     terms, starts, text = abuse.sentences(pa.array([chars * 3, None, "・" * 200, "an end"]).fill_null(""), state)
     assert abuse._padded(terms, starts).shape == (len(starts), abuse.WIDTH) and set(text.tolist()) <= {0, 2, 3}
+
+
+def test_labelled_documents_keep_all_sentences(spark):
+    words = [a + b + c for a in "bdfgklmnpr" for b in "aeiou" for c in "bdgklmnr"]
+    text = ". ".join(f"the {w} plan" for w in words[:300])
+    docs = spark.createDataFrame([(i, text) for i in (1, 2, 3)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1, "a", 1, TS), (2, 2, "a", 0, TS)], "label_id bigint, doc_id bigint, reviewer string, offensive int, reviewed_at timestamp")
+    assert [(y, len(rows)) for y, rows in abuse.labelled_bags(docs, labels)] == [(-1, 200), (0, 300), (1, 300)]
