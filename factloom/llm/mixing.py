@@ -34,15 +34,19 @@ def rates(counts: DataFrame, targets: DataFrame) -> DataFrame:
     Shares of sources without any token cannot be reached: their rate is null and the
     others keep their shares relative to each other. A source listed twice has the sum of
     its shares and the smaller of its limits; shares that are null, zero or negative ask
-    for nothing.
+    for nothing. A null limit is no limit; a limit of zero or less leaves its source out
+    like one without tokens. Where no source has a limit, every document of the source
+    richest in tokens for its share is used once.
     """
     asked = targets.where("target_share > 0").groupBy(source_key(F.col("source")).alias("source"))
     asked = asked.agg(F.sum("target_share").alias("target_share"), F.min("max_repeats").alias("max_repeats")).where("source is not null")
     held = counts.where("n_tokens > 0").groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"), F.count("*").alias("available_docs"))
     both = asked.join(held, "source", "left")
     # The one number that all sources share: the largest total that no source's limit forbids.
-    most = both.agg(F.min(F.col("available_tokens") * F.greatest("max_repeats", F.lit(0)) / F.col("target_share")).alias("total")).collect()[0]["total"]
-    return both.withColumn("rate", F.lit(float(most or 0.0)) * F.col("target_share") / F.col("available_tokens"))
+    usable = F.col("max_repeats").isNull() | (F.col("max_repeats") > 0)
+    reach = F.when(usable, F.col("available_tokens") / F.col("target_share"))
+    most = both.agg(F.coalesce(F.min(reach * F.col("max_repeats")), F.max(reach)).alias("total")).collect()[0]["total"]
+    return both.withColumn("rate", F.when(usable, F.lit(float(most or 0.0)) * F.col("target_share") / F.col("available_tokens")))
 
 
 def mix(counts: DataFrame, rated: DataFrame, seed: int = SEED) -> DataFrame:
@@ -54,6 +58,7 @@ def mix(counts: DataFrame, rated: DataFrame, seed: int = SEED) -> DataFrame:
     d = counts.where("n_tokens > 0").join(small(rated.where("rate > 0").select("source", "rate", "max_repeats")), "source")
     draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(2**53)) / F.lit(float(2**53))
     whole = F.floor(F.col("rate") + F.lit(1e-12))
+    # ``least`` skips a null limit.
     copies = F.least(whole + F.when(draw < F.col("rate") - whole, 1).otherwise(0), F.col("max_repeats")).cast("int")
     used = d.withColumn("copies", copies).where("copies > 0")
     return used.select("doc_id", "source", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))

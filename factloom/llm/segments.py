@@ -1,16 +1,18 @@
 """Oversized texts cut into pieces under a limit, at natural boundaries, with overlap.
 
 Lexical cohesion: at every possible cut the words of the block before are compared with
-those of the block after; a valley of this similarity marks a change of topic. Within the
-window in which the next cut must fall, the cut is made at the coarsest kind of boundary
-there is, and among those at the deepest valley.
+those of the block after; a valley of this similarity marks a change of topic. The text is
+walked from window to window, and in every window the cut is made at the deepest valley
+among the boundaries that the walk may use. The first walk uses paragraphs only; where a
+window holds none, the walk fails and the next one may use the next kind as well, up to
+words. The kind with which the walk reaches the end is the text's cut level.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LIMIT, OVERLAP = 4000, 200
-#: Words in each of the two blocks that are compared; hashed into so many buckets.
-BLOCK_WORDS, BUCKETS = 60, 64
+#: Words in each of the two blocks that are compared.
+BLOCK_WORDS = 60
 #: A piece is at least this share of the limit where boundaries allow it.
 LEAST_SHARE = 0.5
 #: Similarities are computed for so many words at a time.
-SLAB = 50_000
+SLAB = 4096
 LEVELS = ("paragraph", "line", "sentence", "word")
 
 # Abbreviations that end in a full stop inside a sentence, in lower case.
@@ -34,111 +36,225 @@ ABBREVIATIONS = frozenset(
     jan feb mar apr jun jul aug sep sept oct nov dec okt dez mon tue wed thu fri sat sun max min avg tel ext""".split()
 )
 
-_BREAK = r"(?:\r\n|\r|\n|\u2028|\u2029|\x85)"
-_PARAGRAPH = re.compile(rf"{_BREAK}[^\S\r\n]*(?:{_BREAK}[^\S\r\n]*)+")
-_LINE = re.compile(_BREAK)
 _SENTENCE = re.compile(r"[.!?…]+[\"'”’»)\]]*(?=\s)|[。！？｡]+[\"'”’」』）]*")
-_SPACE = re.compile(r"\s+")
-_WORD = re.compile(r"[぀-ヿ一-鿿]{1,2}|[^\W_]+")
 _BEFORE = re.compile(r"[^\s(\[\"'“„«]*$")
+# Characters that end a line; CR LF is one end.
+BREAKS = "\r\n\u2028\u2029\x85"
 
+_SPACE, _BREAK, _WORD, _IDEOGRAPH = 1, 2, 4, 8
 
-def boundaries(text: str) -> list[tuple[int, int]]:
-    """Sorted (position, level) of all natural cuts; a cut stands after its separator and has its coarsest level."""
-    found: dict[int, int] = {}
-    for m in _PARAGRAPH.finditer(text):
-        found.setdefault(m.end(), 0)
-    for m in _LINE.finditer(text):
-        found.setdefault(m.end(), 1)
+
+@cache
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: which kinds of character it is, and its lower case."""
+    kind, lower = np.zeros(0x110000, dtype=np.uint8), np.arange(0x110000, dtype=np.uint64)
+    for c in range(0x20000):
+        char = chr(c)
+        kind[c] = (_SPACE if char.isspace() else 0) | (_BREAK if char in BREAKS else 0) | (_WORD if char.isalnum() else 0)
+        if len(char.lower()) == 1:
+            lower[c] = ord(char.lower())
+    kind[0x20000:0x32000] = _WORD
+    kind[0x3040:0x3100] = kind[0x4E00:0xA000] = _WORD | _IDEOGRAPH
+    return kind, lower
+
+
+def code_points(text: str) -> np.ndarray:
+    """The characters of a text as numbers."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def cuts_of(text: str, points: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted positions and levels of all natural cuts; a cut stands after its separator and has its coarsest level."""
+    points = code_points(text) if points is None else points
+    kind = _tables()[0][points]
+    blank = np.concatenate([[False], (kind & _SPACE) > 0, [False]])
+    opens, closes = np.flatnonzero(~blank[:-1] & blank[1:]), np.flatnonzero(blank[:-1] & ~blank[1:])
+    ends = np.flatnonzero(kind & _BREAK)
+    ends = ends[~((points[ends] == 13) & (np.append(points, 0)[ends + 1] == 10))] + 1
+    # White space with two line ends in it holds a blank line.
+    several = np.searchsorted(ends, closes, side="right") - np.searchsorted(ends, opens, side="right") >= 2
+    sentences = []
     for m in _SENTENCE.finditer(text):
-        end = m.end()
-        if text[m.start()] == "." and m.group().startswith(".") and not m.group().startswith(".."):
-            word = _BEFORE.search(text, max(0, m.start() - 24), m.start()).group().lower()
+        start, end = m.span()
+        if text[start] == "." and text[start + 1 : start + 2] != ".":
+            word = _BEFORE.search(text[max(0, start - 24) : start]).group().lower()
             if word in ABBREVIATIONS or (len(word) == 1 and word.isalpha()):
                 continue
-        space = _SPACE.match(text, end)
-        found.setdefault(space.end() if space else end, 2)
-    for m in _SPACE.finditer(text):
-        found.setdefault(m.end(), 3)
-    return sorted((p, k) for p, k in found.items() if 0 < p < len(text))
-
-
-def cut_level(length: int, cuts: list[tuple[int, int]], limit: int = LIMIT) -> str:
-    """The first kind of boundary such that cutting at all of that kind and the kinds before leaves no stretch over the limit."""
-    positions, levels = np.array([p for p, _ in cuts], dtype=np.int64), np.array([k for _, k in cuts], dtype=np.int64)
-    for k, name in enumerate(LEVELS):
-        edges = np.concatenate([[0], positions[levels <= k], [length]])
-        if np.diff(edges).max() <= limit:
-            return name
-    return "none"
-
-
-def cohesion_depths(text: str, positions: np.ndarray) -> np.ndarray:
-    """How deep the similarity valley at each position is: the rise to the nearest peak on the left plus that on the right."""
-    spans = [(m.start(), zlib.crc32(m.group().lower().encode()) % BUCKETS) for m in _WORD.finditer(text)]
-    if not spans or not len(positions):
-        return np.zeros(len(positions))
-    starts, words = np.array([s for s, _ in spans]), np.array([w for _, w in spans])
-    gaps = np.searchsorted(starts, positions)
-    similar = np.zeros(len(positions))
-    for lo in range(0, len(words) + 1, SLAB):
-        here = np.flatnonzero((gaps >= lo) & (gaps < lo + SLAB))
-        if not len(here):
-            continue
-        a, b = max(0, lo - BLOCK_WORDS), min(len(words), lo + SLAB + BLOCK_WORDS)
-        sums = np.zeros((b - a + 1, BUCKETS), dtype=np.int32)
-        sums[np.arange(1, b - a + 1), words[a:b]] = 1
-        np.cumsum(sums, axis=0, out=sums)
-        g = gaps[here] - a
-        left = (sums[g] - sums[np.maximum(g - BLOCK_WORDS, 0)]).astype(np.float64)
-        right = (sums[np.minimum(g + BLOCK_WORDS, b - a)] - sums[g]).astype(np.float64)
-        norm = np.sqrt((left**2).sum(1) * (right**2).sum(1))
-        similar[here] = np.divide((left * right).sum(1), norm, out=np.zeros(len(here)), where=norm > 0)
-    depth = np.zeros(len(positions))
+        sentences.append(end)
+    stops = np.array(sentences, dtype=np.int64)
+    # White space behind the end of a sentence belongs to it.
+    at = np.searchsorted(opens, stops)
+    after = np.append(opens, -1)[at] == stops
+    stops = np.where(after, np.append(closes, 0)[at], stops)
+    kinds = [closes[several], ends, stops, closes]
+    # Kinds come in order, so the first of equal positions has the coarsest level.
+    positions, first = np.unique(np.concatenate(kinds), return_index=True)
+    levels = np.repeat(np.arange(4), [len(k) for k in kinds])[first]
+    inside = (positions > 0) & (positions < len(points))
+    return positions[inside], levels[inside]
+
+
+def boundaries(text: str) -> list[tuple[int, int]]:
+    """``cuts_of`` as a list of (position, level)."""
+    return list(zip(*(x.tolist() for x in cuts_of(text))))
+
+
+def word_ids(text: str, points: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start, and a number for each word, equal for equal words in any case.
+
+    A word is a run of letters and digits, or up to two ideographs in a row. Its number is a
+    64-bit sum over its characters with the powers of an odd factor.
+    """
+    points = code_points(text) if points is None else points
+    kinds, lower = _tables()
+    kind = kinds[points] & (_WORD | _IDEOGRAPH)
+    run = np.flatnonzero(np.diff(kind, prepend=np.uint8(255)))
+    # Where each character stands in its run; ideographs start anew after two.
+    place = np.arange(len(points)) - np.repeat(run, np.diff(np.append(run, len(points))))
+    place = np.where(kind & _IDEOGRAPH, place % 2, place)
+    starts = np.flatnonzero((place == 0) & (kind > 0))
+    if not len(starts):
+        return starts, starts
+    powers = np.full(int(place.max()) + 1, 0x9E3779B97F4A7C15, dtype=np.uint64)
+    powers[0] = 1
+    value = np.where(kind > 0, (lower[points] + np.uint64(1)) * np.cumprod(powers)[place], np.uint64(0))
+    return starts, np.add.reduceat(value, starts).view(np.int64)
+
+
+def similarities(words: np.ndarray, gaps: np.ndarray, block: int = BLOCK_WORDS) -> np.ndarray:
+    """The cosine of the word counts of the ``block`` words before each gap and of those after it (fewer at the ends).
+
+    Equal words are counted by their distance: two words ``d`` apart that are equal add to
+    the product of the blocks between which the gap lies, and to the norm of a block that
+    holds both. Sums along the text of these equalities serve all gaps; the counts are exact.
+    """
+    out = np.zeros(len(gaps))
+    for at in range(0, len(gaps), SLAB):
+        part = gaps[at : at + SLAB]
+        # Gaps far apart are looked at in groups, so that a slab of words stays small.
+        for lo in np.unique(part // SLAB) * SLAB:
+            here = np.flatnonzero((part >= lo) & (part < lo + SLAB))
+            a, b = max(0, lo - block), min(len(words), lo + SLAB + block)
+            out[at + here] = _cosines(words[a:b], part[here] - a, block)
+    return out
+
+
+def _cosines(words: np.ndarray, gaps: np.ndarray, block: int) -> np.ndarray:
+    n = len(words)
+    ahead = np.lib.stride_tricks.sliding_window_view(np.append(words, np.full(2 * block, -1)), 2 * block)[:n]
+    sums = np.zeros((n + 1, 2 * block - 1), dtype=np.int32)
+    np.cumsum(ahead[:, 1:] == words[:, None], axis=0, out=sums[1:])
+    far = np.arange(1, 2 * block)
+    g, low, high = gaps[:, None], np.maximum(gaps - block, 0)[:, None], np.minimum(gaps + block, n)[:, None]
+
+    def pairs(first: np.ndarray, last: np.ndarray, d: np.ndarray) -> np.ndarray:
+        """Equal pairs (i, i + d) with i from first to before last, over all d."""
+        last = np.maximum(last, first)
+        return (sums[last, d - 1] - sums[first, d - 1]).sum(1, dtype=np.int64)
+
+    product = pairs(np.maximum(low, g - far), np.minimum(g, high - far).clip(0), far)
+    near = far[: block - 1]
+    left = (g - low)[:, 0] + 2 * pairs(np.broadcast_to(low, (len(gaps), block - 1)), (g - near).clip(0), near)
+    right = (high - g)[:, 0] + 2 * pairs(np.broadcast_to(g, (len(gaps), block - 1)), (high - near).clip(0), near)
+    norm = np.sqrt(left.astype(np.float64) * right)
+    return np.divide(product, norm, out=np.zeros(len(gaps)), where=norm > 0)
+
+
+def valley_depths(similar: np.ndarray) -> np.ndarray:
+    """How deep the valley at each position is: the rise to the nearest peak on the left plus that on the right."""
+    depth = np.zeros(len(similar))
     for step in (1, -1):
-        s = similar[::step]
+        s = similar[::step].tolist()
         # Height of the hill climbed from each valley towards one side, as far as it keeps rising.
-        peak = s.copy()
+        peak = s[:1]
         for i in range(1, len(s)):
-            peak[i] = max(s[i], peak[i - 1]) if s[i - 1] >= s[i] else s[i]
-        depth += (peak - s)[::step]
+            peak.append(max(s[i], peak[-1]) if s[i - 1] >= s[i] else s[i])
+        depth += (np.array(peak) - np.array(s))[::step]
     return depth
 
 
-def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[str, list[tuple[int, int, int, str]]]:
-    """``(cut_level, pieces)`` of an oversized text; a piece is (start, new content's start, end, kind of the cut at its end)."""
-    cuts = boundaries(text)
-    level = cut_level(len(text), cuts, limit)
-    positions, levels = np.array([p for p, _ in cuts], dtype=np.int64), np.array([k for _, k in cuts], dtype=np.int64)
-    # Valleys are looked for at cuts between sentences or coarser; between words only where nothing else is left.
-    depths = np.zeros(len(positions))
-    coarse = np.flatnonzero(levels <= 2)
-    depths[coarse] = cohesion_depths(text, positions[coarse])
-    pieces, begin, fresh = [], 0, 0
-    while len(text) - begin > limit:
-        end = begin + limit
-        lo = max(fresh + 1, begin + int(limit * LEAST_SHARE))
-        i, j = np.searchsorted(positions, [lo, end + 1])
-        chosen, kind = end, "none"
-        if i < j:
-            best = levels[i:j].min()
-            at = i + np.flatnonzero(levels[i:j] == best)
-            at = at[depths[at] >= depths[at].max() - 1e-12][-1] if best <= 2 else at[-1]
-            chosen, kind = int(positions[at]), LEVELS[best]
+class _Valleys:
+    """Valley depths of a text: of all cuts between sentences or coarser at once, between words only where a window asks."""
+
+    def __init__(self, text: str):
+        points = code_points(text)
+        self.positions, self.levels = positions, levels = cuts_of(text, points)
+        self.starts, self.words = word_ids(text, points)
+        self.depths = np.zeros(len(positions))
+        coarse = np.flatnonzero(levels <= 2)
+        self.depths[coarse] = self._of(coarse)
+
+    def _of(self, at: np.ndarray) -> np.ndarray:
+        if not len(self.words) or not len(at):
+            return np.zeros(len(at))
+        gaps = np.searchsorted(self.starts, self.positions[at])
+        # Only the words that the blocks of these cuts reach.
+        lo, hi = max(0, int(gaps[0]) - BLOCK_WORDS), min(len(self.words), int(gaps[-1]) + BLOCK_WORDS)
+        return valley_depths(similarities(self.words[lo:hi], gaps - lo))
+
+    def deepest(self, i: int, j: int, kind: int) -> int | None:
+        """Among the cuts i to j of the given kind or coarser the deepest valley, the last of equals; cuts between words only where there is no other."""
+        at = i + np.flatnonzero(self.levels[i:j] <= min(kind, 2))
+        depths = self.depths[at]
+        if not len(at) and kind == 3:
+            at = np.arange(i, j)
+            depths = self._of(at)
+        return int(at[depths >= depths.max() - 1e-12][-1]) if len(at) else None
+
+
+def walk(length: int, valleys: _Valleys, kind: int, limit: int, overlap: int) -> list[tuple[int, str]] | None:
+    """The cuts (position, kind) made with boundaries of a kind and those before; None where a window has no such boundary.
+
+    A cut leaves room for the overlap where there is a boundary that does. With kind 4 a
+    window without any boundary is cut at its end, so that walk always gets through.
+    """
+    positions, cuts, fresh = valleys.positions, [], 0
+    while True:
+        reach = limit - (overlap if fresh else 0)
+        if length - fresh <= reach:
+            return cuts
+        chosen = None
+        # First with room for the overlap and at least the least share, then shorter, then without that room.
+        for lo, hi in ((fresh + int(limit * LEAST_SHARE), fresh + reach), (fresh + 1, fresh + reach), (fresh + reach + 1, fresh + limit)):
+            i, j = np.searchsorted(positions, [max(lo, fresh + 1), hi + 1])
+            chosen = valleys.deepest(int(i), int(j), min(kind, 3)) if i < j else None
+            if chosen is not None:
+                break
+        if chosen is not None:
+            cuts.append((int(positions[chosen]), LEVELS[valleys.levels[chosen]]))
+        elif length - fresh <= limit:
+            return cuts  # the rest fits with less overlap
+        elif kind < 4:
+            return None
         else:
-            k = np.searchsorted(positions, lo) - 1  # nothing in the window: the last boundary before it, if any
-            if k >= 0 and positions[k] > fresh:
-                chosen, kind = int(positions[k]), LEVELS[levels[k]]
-        pieces.append((begin, fresh, chosen, kind))
-        fresh = chosen
+            cuts.append((fresh + reach, "none"))
+        fresh = cuts[-1][0]
+
+
+def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[str, list[tuple[int, int, int, str]]]:
+    """``(cut_level, pieces)`` of an oversized text; a piece is (start, new content's start, end, kind of the cut at its end).
+
+    Every walk passes a stretch between two boundaries it may use only if the stretch is
+    within the limit. So the first kind whose walk gets through is the first for which
+    cutting everywhere leaves no stretch over the limit.
+    """
+    valleys = _Valleys(text)
+    positions, levels = valleys.positions, valleys.levels
+    for kind in range(5):
+        cuts = walk(len(text), valleys, kind, limit, overlap)
+        if cuts is not None:
+            break
+    pieces, fresh = [], 0
+    for end, name in [*cuts, (len(text), "end")]:
+        begin = max(fresh - overlap, end - limit, 0) if fresh else 0
         # The overlap starts at the first boundary within its reach, a sentence's before a word's.
-        i, j = np.searchsorted(positions, [fresh - overlap, fresh - overlap // 10])
-        begin = max(fresh - overlap, begin + 1)
-        if i < j:
-            best = levels[i:j].min()
-            begin = max(int(positions[i + np.flatnonzero(levels[i:j] == best)[0]]), begin)
-    pieces.append((begin, fresh, len(text), "end"))
-    return level, pieces
+        i, j = np.searchsorted(positions, [begin, fresh - overlap // 10])
+        if fresh and i < j:
+            at = i + np.flatnonzero(levels[i:j] == levels[i:j].min())
+            begin = int(positions[at[0]])
+        pieces.append((begin, fresh, end, name))
+        fresh = end
+    return (*LEVELS, "none")[kind], pieces
 
 
 _SCHEMA = "section_key bigint, n_chars int, cut_level string, piece int, start int, fresh_start int, end int, cut_kind string, text string"

@@ -1,14 +1,19 @@
 """One surviving record per group of duplicate captures, by skyline selection.
 
 Records of a group are compared on trust (rank of the capture channel), recency and
-completeness (which fields are usable). Only records that no other dominates - at least
-as good in all three and better in one - can supply a field; among them a lexicographic
-policy decides: usable first, then trust, then recency, then the record id. A field that
-is unusable in the first record is filled from the next layer that has it.
+completeness (which fields are usable). A record dominates another if it is at least as
+good in all three and better in one. The records that none dominates are the first layer,
+those that only it dominates the second, and so on. Every field is taken from the first
+layer in which it is usable, there by a lexicographic policy: trust, then recency.
+
+Recency is the time of capture and, among captures of one time, the record id; so it is a
+total order, and the best record that has a field is dominated only by better ones that
+have it too: the layers give each field to the record that the policy puts first.
 
 The group is never gathered whole. Of the records that agree in trust and in the set of
-usable fields only the latest can be undominated, so a combining aggregate leaves at most
-``channels x 2^fields`` candidates per group whatever the group's size.
+usable fields the latest dominates the others, which can supply nothing that it cannot. So
+a combining aggregate leaves at most ``channels x 2^fields`` records per group whatever
+the group's size, and the layers are peeled from those.
 """
 
 from __future__ import annotations
@@ -102,37 +107,52 @@ def _candidates(records: DataFrame, channels: DataFrame) -> DataFrame:
 
 def _dominates(y: Column, x: Column) -> Column:
     """y is at least as good as x in trust, recency and completeness, and better in one."""
-    time = lambda r: F.coalesce(r["captured_at"].cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz"))
-    no_worse = (y["trust"] >= x["trust"]) & (time(y) >= time(x)) & (y["mask"].bitwiseOR(x["mask"]) == y["mask"])
-    return no_worse & ((y["trust"] > x["trust"]) | (time(y) > time(x)) | (y["mask"] != x["mask"]))
+    late = lambda r: F.struct(r["captured_at"], r["record_id"])  # noqa: E731 - nulls are the least
+    no_worse = (y["trust"] >= x["trust"]) & (late(y) >= late(x)) & (y["mask"].bitwiseOR(x["mask"]) == y["mask"])
+    return no_worse & ((y["trust"] > x["trust"]) | (late(y) > late(x)) | (y["mask"] != x["mask"]))
+
+
+def _layers(found: str) -> Column:
+    """``array<struct<layer, record>>``: 1 if no record dominates it, else one more than the deepest layer that does.
+
+    Sorted by trust, recency and fields no record comes before one that dominates it, so
+    one pass over the sorted records has seen the layers of all that dominate the next.
+    """
+    placed = lambda x, layer: F.struct(layer.alias("layer"), x.alias("record"))
+
+    def step(done: Column, x: Column) -> Column:
+        above = F.transform(F.filter(done, lambda y: _dominates(y["record"], x)), lambda y: y["layer"])
+        return F.concat(done, F.array(placed(x, F.coalesce(F.array_max(above), F.lit(0)) + 1)))
+
+    start = F.transform(F.slice(found, 1, 0), lambda x: placed(x, F.lit(0)))
+    return F.aggregate(F.sort_array(found, asc=False), start, step)
 
 
 def _pick(bit: int, field: str) -> Column:
-    """The policy's first record among those that have the field; it is always undominated among them."""
-    usable = F.filter("found", lambda x: x["mask"].bitwiseAND(F.lit(1 << bit)) != 0)
-    return F.array_max(F.transform(usable, lambda x: F.struct(x["trust"], x["captured_at"], x["record_id"], x[field].alias("value"))))
+    """Of the first layer that has the field the record the policy puts first; null if the field is usable in none."""
+    usable = F.filter("layers", lambda x: x["record"]["mask"].bitwiseAND(F.lit(1 << bit)) != 0)
+    ranked = lambda x: F.struct((-x["layer"]).alias("layer"), *[x["record"][c].alias(c) for c in ("trust", "captured_at", "record_id")], x["record"][field].alias("value"))
+    return F.array_max(F.transform(usable, ranked))
 
 
 def survivors(records: DataFrame, channels: DataFrame) -> DataFrame:
     """One record per filing, each field from the best capture.
 
-    ``filing_id, n_records, n_skyline`` (undominated records), the four fields, and for
-    each ``<field>_record`` and ``<field>_layer``: the record that supplies it, and 1 if
-    that record is undominated as a whole, 2 if a field had to be filled from a record of
-    a later layer. A field usable in no record is null. Records whose accession number
-    cannot be read, not even from the url, belong to no filing. Exact copies under a new
-    record id are candidates like any other; the highest id wins a tie.
+    ``filing_id, n_records, n_skyline`` (undominated records), ``n_layers`` (among the
+    records that can supply anything), ``base_record`` (the policy's first of the skyline),
+    the four fields, and for each ``<field>_record`` and ``<field>_layer``: the record that
+    supplies it and its layer. A field usable in no record is null. Records whose accession
+    number cannot be read, not even from the url, belong to no filing. Exact copies under
+    a new record id are candidates like any other; the highest id wins a tie.
     """
-    c = _candidates(records, channels)
-    skyline = F.filter("found", lambda x: ~F.exists("found", lambda y: _dominates(y, x)))
-    c = c.withColumn("skyline", skyline)
-    picks = {field: _pick(i, field) for i, field in enumerate(FIELDS)}
-    c = c.withColumns({f"pick_{f}": p for f, p in picks.items()})
-    out = ["filing_id", "n_records", F.size("skyline").alias("n_skyline")]
+    c = _candidates(records, channels).withColumn("layers", _layers("found"))
+    c = c.withColumns({f"pick_{f}": _pick(i, f) for i, f in enumerate(FIELDS)})
+    first = F.transform(F.filter("layers", lambda x: x["layer"] == 1), lambda x: x["record"])
+    base = F.array_max(F.transform(first, lambda x: F.struct(x["trust"], x["captured_at"], x["record_id"])))["record_id"]
+    out = ["filing_id", "n_records", F.size(first).alias("n_skyline"), F.array_max(F.transform("layers", lambda x: x["layer"])).alias("n_layers"), base.alias("base_record")]
     for f in FIELDS:
         pick = F.col(f"pick_{f}")
-        first = F.array_contains(F.transform("skyline", lambda x: x["record_id"]), pick["record_id"])
-        out += [pick["value"].alias(f), pick["record_id"].alias(f"{f}_record"), F.when(pick.isNotNull(), F.when(first, 1).otherwise(2)).alias(f"{f}_layer")]
+        out += [pick["value"].alias(f), pick["record_id"].alias(f"{f}_record"), (-pick["layer"]).alias(f"{f}_layer")]
     return c.select(*out)
 
 

@@ -55,10 +55,36 @@ def test_survivor_against_brute_force(spark):
                 want.add((filing, f, best["record_id"]))
     s = survivor.survivors(records, ch)
     assert {tuple(r) for r in survivor.supplied_fields(s).collect()} == want
-    assert s.where("n_skyline < 1").count() == 0 and s.count() == 5
+    assert s.where("n_skyline < 1 or base_record is null").count() == 0 and s.count() == 5
     assert survivor.survivors(records.limit(0), ch).count() == 0 and survivor.survivors(records, ch.limit(0)).count() == 5
 
 
+CAPTURES = [  # record, channel, time, is_amended, form, year
+    (1, "a", 3, None, "10-K", None), (2, "a", 1, True, "10-K", "2020"), (3, "b", 9, True, "10-K", "2021"), (4, "b", 8, True, None, None), (5, "c", 9, False, None, "2022"), (6, "a", 1, True, "10-K", None),
+]
+
+
+def _captures(spark):
+    rows = [(i, "0009000000-18-000001", None, c, TS + datetime.timedelta(days=d), a, f, y, None, 1, "x") for i, c, d, a, f, y in CAPTURES]
+    return spark.createDataFrame(rows, RECORDS), spark.createDataFrame([("a", 1, "x"), ("b", 2, "x"), ("c", 3, "x")], "channel string, trust_rank int, note string")
+
+
+def test_layers_of_the_skyline(spark):
+    row = survivor.survivors(*_captures(spark)).first()
+    # Only 4 is dominated, by 3; 5 and 6 have later ids than those of their time with more fields.
+    assert (row["n_records"], row["n_skyline"], row["n_layers"], row["base_record"]) == (6, 5, 2, 1)
+    assert (row["original_filing_type_record"], row["is_amended_record"], row["fiscal_year_record"]) == (1, 6, 2) and row["fiscal_period_record"] is None
+    assert {row[f"{f}_layer"] for f in survivor.FIELDS} == {1, None}
+
+
+def test_rows_come_through_the_skyline(spark, monkeypatch):
+    """Without the first layer the fields come from the second: only what the layers hold is read."""
+    records, channels = _captures(spark)
+    layers = survivor._layers
+    monkeypatch.setattr(survivor, "_layers", lambda found: F.filter(layers(found), lambda x: x["layer"] > 1))
+    assert {tuple(r)[1:] for r in survivor.supplied_fields(survivor.survivors(records, channels)).collect()} == {("is_amended", 4)}
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.sampled_from("ab c.\n。!? 1日No"), min_size=31, max_size=400))
 def test_pieces_make_up_the_text(text):
@@ -87,6 +113,38 @@ def test_cut_follows_the_valley():
     assert abs(pieces[0][2] - len(one) * 40) <= len(one) * 3
 
 
+def test_line_ends():
+    kinds = lambda t: [k for _, k in segments.boundaries(t)]
+    assert kinds("a\r\nb") == [1] and kinds("a\r\n\r\nb") == [1, 0] and kinds("a\n \t\nb") == [1, 0] and kinds("a\rb\n\rc") == [1, 1, 0] and kinds("a\u2028b c") == [1, 3]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 6), min_size=1, max_size=70), st.integers(1, 9))
+def test_similarity_is_the_cosine_of_the_blocks(words, block):
+    ids = np.array(words)
+    for gap, got in enumerate(segments.similarities(ids, np.arange(len(words) + 1), block)):
+        left, right = (np.bincount(b, minlength=7) for b in (ids[max(0, gap - block) : gap], ids[gap : gap + block]))
+        norm = np.linalg.norm(left) * np.linalg.norm(right)
+        assert got == pytest.approx(left @ right / norm if norm else 0.0)
+
+
+def test_cuts_and_level_come_from_the_walk(monkeypatch):
+    one, two = "apples pears plums grow here. ", "engines valves turn in motors. "
+    text = (one * 30 + two * 20) * 3
+    level, pieces = segments.cut(text, 1200, 50)
+    assert level == "sentence"
+    monkeypatch.setattr(segments, "valley_depths", lambda s: np.zeros(len(s)))
+    assert segments.cut(text, 1200, 50)[1] != pieces
+    monkeypatch.setattr(segments, "walk", lambda *a: [])
+    assert segments.cut(text, 1200, 50)[0] == "paragraph"
+
+
+def test_words_alone_are_cut_at_valleys():
+    text = "apples pears plums orchard river " * 60 + "engines pistons valves motor truck " * 60
+    _, pieces = segments.cut(text, 3000, 100)
+    assert abs(pieces[0][2] - text.index("engines")) <= 40 and pieces[0][3] == "word"
+
+
 def test_segment_frame(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, "short", "x"), (4, "word " * 3000, "x"), (5, "x" * 9000, "x"), (4, "word " * 3000, "x")]
     df = spark.createDataFrame(rows, "section_key bigint, text_content string, piece string")
@@ -168,6 +226,17 @@ def test_mixture(spark):
     assert mixing.mix(counts.limit(0), mixing.rates(counts.limit(0), targets)).count() == 0
 
 
+@pytest.mark.parametrize("limit,want", [(2, {"a": 2.0, "b": 2.0}), (None, {"a": 2.0, "b": 2.0}), (0, {"a": 2.0})])
+def test_null_and_zero_limits(spark, limit, want):
+    counts = spark.range(200).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"), F.lit(10).alias("n_tokens"))
+    targets = spark.createDataFrame([("a", 0.5, 2), ("b", 0.5, limit)], "source string, target_share double, max_repeats int")
+    rated = mixing.rates(counts, targets)
+    got = {r["source"]: r["n"] / 100 for r in mixing.mix(counts, rated).groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert got == want and mixing.shares(counts, rated).count() == 2
+    unlimited = mixing.rates(counts, targets.withColumn("max_repeats", F.lit(None).cast("int")))
+    assert mixing.mix(counts, unlimited).count() == 200
+
+
 @pytest.mark.parametrize("a,b", [("mоrоn", "moron"), ("nakeeeed", "naked"), ("@$$h0l3", "asshole"), ("s​t​upid", "stupid"), ("IDIOTS", "idiot"), ("Crétin", "cretin"), ("arrrschloch", "arschloch")])
 def test_masks(a, b):
     assert abuse.plain(a) == abuse.plain(b)
