@@ -13,7 +13,7 @@ def p1_normalised(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return units.restated_pairs(p1_normalised(spark, d))
+    return units.restatements(table(spark, d, "facts"), table(spark, d, "units"), table(spark, d, "concepts"))
 
 
 def p5_wide(spark: SparkSession, d: str) -> DataFrame:

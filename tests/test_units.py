@@ -4,6 +4,7 @@ import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,6 +108,67 @@ def test_pairs_against_brute_force(spark, load):
     assert want and got == want
 
 
+def test_restatements_are_the_pairs(spark, load):
+    tables = load("facts"), load("units"), load("concepts")
+    want = {tuple(r) for r in u.restated_pairs(u.normalise_facts(*tables)).collect()}
+    got = [tuple(r) for r in u.restatements(*tables).collect()]
+    assert want and set(got) == want and len(got) == len(want)
+    # Filings longer than a block, and facts without a position, keep all facts for the pairing.
+    moved = tables[0].withColumn("pos", F.when(F.col("fact_id") % 7 > 0, F.col("pos") * 3000))
+    assert {tuple(r) for r in u.restatements(moved, *tables[1:]).collect()} == want
+
+
+def test_repeats_of_one_figure_pair_once_each(spark):
+    rows = spark.range(5000).select(F.col("id").alias("fact_id"), F.lit(1).alias("k1"), F.lit(2).alias("k2"), F.when(F.col("id") < 4990, 5.0).when(F.col("id") < 4998, 5000.0).otherwise(7.0).alias("figure"), F.when(F.col("id") < 4998, 5000.0).otherwise(7.0).alias("quantity"))
+    pairs = u._pairs(rows)
+    assert pairs.count() == 4990 * 8 and pairs.where("fact_id_a >= 4990 or fact_id_b < 4990 or fact_id_b >= 4998").count() == 0
+
+
+SERIES = [("f", f"c{i}", "g:W", i, "utr:kg", None, f"{v}", None) for i, v in enumerate((251000, 249500, 252000))]
+LOOSE = ("f", "c9", "g:W", 9, "opaque", None, "250.4", None)  # a mass in no readable unit: tonnes by the series
+
+
+def test_open_units_follow_the_series(spark, monkeypatch):
+    concepts = spark.createDataFrame([("g_W", "g:W", "xbrli:massItemType", "x")], CONCEPTS)
+    units, facts = spark.createDataFrame([], UNITS), _facts(spark, [*SERIES, LOOSE, ("f", "c9", "g:W", 10, "utr:kg", None, "250400", None)])
+    got = {r["fact_id"]: r for r in u.normalise_facts(facts, units, concepts).collect()}
+    assert got[4]["unit"] == "t" and got[4]["quantity"] == pytest.approx(250400)
+    pairs = lambda: {tuple(r) for r in u.restatements(facts, units, concepts).collect()}
+    assert pairs() == {(4, 5)}
+    # Without the level of the series the declaration alone decides: kilograms.
+    loose = pa.Table.from_pydict({"figure": [250400.0, 250.4], "exponent": [0, 0], "kind": [u.KINDS.index("mass")] * 2, "unit": [u.UNIT_LIST.index("kg"), None], "money_exponent": [None, None], "share_exponent": [None, None], "other_unit": [None, None], "other_exponent": [None, None]})
+    loose = loose.cast(pa.schema([(n, pa.float64() if n == "figure" else pa.int32()) for n in loose.column_names]))
+    assert [u.UNIT_LIST[i] for i in u.decode(loose, np.array([True, False]))[0]] == ["kg", "t"]
+    monkeypatch.setattr(u, "JUMP_CAP", 0.0)
+    assert [u.UNIT_LIST[i] for i in u.decode(loose, np.array([True, False]))[0]] == ["kg", "kg"]
+
+
+def test_double_declarations_follow_the_series(spark):
+    concepts = spark.createDataFrame([("g_A", "g:A", "xbrli:monetaryItemType", "x"), ("g_W", "g:W", "xbrli:massItemType", "x")], CONCEPTS)
+    units = spark.createDataFrame([], UNITS)
+    facts = _facts(spark, [
+        ("f", "c", "g:A", 1, "usd", None, "5,000,000", None), ("f", "c", "g:A", 2, "usd", "6", "5.01 million", None), ("f", "c", "g:A", 3, "usd", None, "5,020,000", None),  # one power, said twice
+        ("f", "c", "g:W", 4, "utr:kg", None, "70,000", None), ("f", "c", "g:W", 5, "utr:mi", None, "70,100", None), ("f", "c", "g:W", 6, "utr:kg", None, "70,200", None),
+    ])
+    got = {r["fact_id"]: r for r in u.normalise_facts(facts, units, concepts).collect()}
+    assert got[2]["quantity"] == pytest.approx(5.01e6) and got[5]["quantity"] in (pytest.approx(70100), pytest.approx(70100 * 1.609344))
+
+
+def test_decoding_does_not_depend_on_the_batches():
+    rng = np.random.default_rng(2)
+    n = 3 * u.PART + 500
+    device = np.sort(rng.choice([1, 2, 3], n, p=[0.9, 0.05, 0.05]))
+    table = pa.table({"device": device, "block": np.zeros(n, dtype=np.int64), "row": np.arange(n)})
+    seen = {}
+    for size in (700, 4096, n):
+        parts = []
+        work = lambda t, starts: parts.append((t["row"].to_numpy()[starts]).tolist()) or t  # noqa: B023, E731
+        out = list(u._stream(work)(iter(table.to_batches(max_chunksize=size))))
+        seen[size] = sorted(sum(parts, []))
+        assert sum(b.num_rows for b in out) == n
+    assert seen[700] == seen[4096] == seen[n]
+
+
 def test_hot_device_is_decoded_in_blocks(spark):
     concepts = spark.createDataFrame([("g_A", "g:A", "xbrli:monetaryItemType", "x")], CONCEPTS)
     units = spark.createDataFrame([("f", "u1", "iso4217:USD", "x")], UNITS)
