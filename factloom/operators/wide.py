@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +21,8 @@ from factloom.functions.numbers import read_figure
 from factloom.operators.units import concept_names
 from factloom.session import small
 
-#: More columns than this are refused: a table that wide is a sign of a wrong attribute list.
-MAX_COLUMNS = 2000
+#: Columns of one table in ``widen_parts``.
+PART_COLUMNS = 1000
 
 # Item types and the column type they come out in; all others are numeric.
 TEXT_TYPES = ("string", "normalizedString", "token", "textBlock", "escaped", "anyURI", "QName", "domain")
@@ -79,17 +80,16 @@ def read_boolean(value: Column) -> Column:
     return F.when(text.isin(*TRUE_WORDS), True).when(text.isin(*FALSE_WORDS), False)
 
 
-def typed_cells(facts: DataFrame, concepts: DataFrame) -> DataFrame:
-    """One row per filing, context and concept with the typed value of the cell.
+def attributes(concepts: DataFrame) -> list[tuple[str, str | None]]:
+    """(name, item type) of every column, by name: read by the driver, because they are the schema."""
+    listed = concept_names(concepts).select("concept", "type").distinct().collect()
+    return sorted({r["concept"]: r["type"] for r in sorted(listed, key=str)}.items())
 
-    ``filing_id, contextref, name, type`` and one of ``num, whole, day, flag, txt``; all
-    five null for a cell whose rows hold no value that fits. Of several values that fit
-    the first in document order (pos, then fact_id) is taken. Names outside ``concepts``
-    and rows without filing or context are left out.
-    """
-    names = small(concept_names(concepts))
+
+def _cells(facts: DataFrame, names: DataFrame) -> DataFrame:
+    """One row per filing, context and ``cell`` of ``names`` (key, cell, type): ``num, whole, day, flag, txt, n_rows``."""
     f = facts.where("filing_id is not null and contextref is not null").select("fact_id", "filing_id", "contextref", "pos", "value", F.col("name").alias("key"))
-    f = f.join(names, "key").withColumnRenamed("concept", "cell")
+    f = f.join(small(names), "key")
     kind = F.col("type")
     filled = F.length(F.regexp_replace("value", r"[\s\u00a0\u3000]+", "")) > 0
     is_text = kind.isin(*TEXT_TYPES)
@@ -104,13 +104,33 @@ def typed_cells(facts: DataFrame, concepts: DataFrame) -> DataFrame:
         F.when(is_text & filled, F.col("value")).when(kind == "gMonthDay", read_month_day(F.col("value"))).alias("txt"),
     )
     f = f.withColumn("fit", fitted)
-    fits = F.coalesce(*[F.col(f"fit.{c}").isNotNull() & F.lit(True) for c in ("num",)], F.lit(False))
-    for c in ("whole", "day", "flag", "txt"):
+    fits = F.lit(False)
+    for c in ("num", "whole", "day", "flag", "txt"):
         fits = fits | F.col(f"fit.{c}").isNotNull()
     ranked = F.struct(F.coalesce("pos", F.lit(2**62)).alias("pos"), "fact_id")
     best = F.min_by(F.when(fits, F.col("fit")), F.when(fits, ranked)).alias("fit")
-    cells = f.groupBy("filing_id", "contextref", F.col("cell").alias("name"), "type").agg(best, F.count("*").alias("n_rows"))
-    return cells.select("filing_id", "contextref", "name", "type", "fit.*", "n_rows")
+    return f.groupBy("filing_id", "contextref", "cell").agg(best, F.count("*").alias("n_rows")).select("filing_id", "contextref", "cell", "fit.*", "n_rows")
+
+
+def typed_cells(facts: DataFrame, concepts: DataFrame) -> DataFrame:
+    """One row per filing, context and concept with the typed value of the cell.
+
+    ``filing_id, contextref, name, num, whole, day, flag, txt, n_rows``: one of the five is
+    filled, none for a cell whose rows hold no value that fits. Of several values that fit
+    the first in document order (pos, then fact_id) is taken. Names outside ``concepts``
+    and rows without filing or context are left out.
+    """
+    return _cells(facts, concept_names(concepts).withColumnRenamed("concept", "cell")).withColumnRenamed("cell", "name")
+
+
+def entity_starts(table: pa.Table) -> np.ndarray:
+    """Where the filing or the context differs from that of the row before."""
+    new = np.ones(table.num_rows, dtype=bool)
+    for c in ("filing_id", "contextref"):
+        column = table[c].combine_chunks()
+        differs = pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        new[1:] = differs if c == "filing_id" else new[1:] | differs
+    return new
 
 
 def _builders(names: list[str], types: list[str]):
@@ -119,12 +139,10 @@ def _builders(names: list[str], types: list[str]):
     source = {"double": "num", "decimal(38,0)": "whole", "date": "day", "boolean": "flag", "string": "txt"}
 
     def build(table: pa.Table) -> pa.RecordBatch:
-        filing, context = (table[c].to_numpy(zero_copy_only=False) for c in ("filing_id", "contextref"))
-        new = np.ones(len(filing), dtype=bool)
-        new[1:] = (filing[1:] != filing[:-1]) | (context[1:] != context[:-1])
+        new = entity_starts(table)
         first = np.flatnonzero(new)
         row = np.cumsum(new) - 1
-        column = table["column"].to_numpy()
+        column = table["cell"].to_numpy()
         order = np.argsort(column, kind="stable")
         edges = np.searchsorted(column[order], np.arange(len(names) + 1))
         out = [table["filing_id"].take(pa.array(first)), table["contextref"].take(pa.array(first))]
@@ -149,10 +167,8 @@ def _builders(names: list[str], types: list[str]):
             if not table.num_rows:
                 continue
             # The last entity may go on in the next batch; it has at most one row per column.
-            cut = table.num_rows - 1
-            last = (table["filing_id"][cut].as_py(), table["contextref"][cut].as_py())
-            while cut > 0 and (table["filing_id"][cut - 1].as_py(), table["contextref"][cut - 1].as_py()) == last:
-                cut -= 1
+            table = table.combine_chunks()
+            cut = int(np.flatnonzero(entity_starts(table))[-1])
             if cut:
                 yield build(table.slice(0, cut).combine_chunks())
             held = table.slice(cut)
@@ -162,30 +178,35 @@ def _builders(names: list[str], types: list[str]):
     return stream
 
 
-def widen(facts: DataFrame, concepts: DataFrame) -> DataFrame:
+def widen(facts: DataFrame, concepts: DataFrame, listed: list[tuple[str, str | None]] | None = None) -> DataFrame:
     """One row per filing and context, one typed column per concept, and ``misfits``.
 
     ``misfits`` lists the concepts for which the entity has rows but none whose value
     fits the column's type. Column names are the concepts' names, in their order;
     monetary and other quantities are doubles, whole numbers ``decimal(38,0)``. Empty
-    inputs give an empty table of the same schema. The list of concepts is read by the
-    driver (it defines the schema) and may have at most ``MAX_COLUMNS`` entries.
+    inputs give an empty table of the same schema. ``listed`` restricts the columns to some
+    of ``attributes``; an entity without rows for any of them gives no row.
     """
-    listed = concept_names(concepts).select("concept", "type").distinct().orderBy("concept").limit(MAX_COLUMNS + 1).collect()
-    if len(listed) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} attributes")
-    names, types = [r["concept"] for r in listed], [sql_type(r["type"]) for r in listed]
-    ddl = "filing_id string, contextref string, " + "".join(f"`{n}` {t}, " for n, t in zip(names, types)) + "misfits array<string>"
-    cells = typed_cells(facts, concepts)
+    listed = attributes(concepts) if listed is None else listed
+    names, types = [n for n, _ in listed], [sql_type(t) for _, t in listed]
+    ddl = "filing_id string, contextref string, " + "".join(f"`{n.replace('`', '``')}` {t}, " for n, t in zip(names, types)) + "misfits array<string>"
     if not names:
-        return cells.limit(0).select("filing_id", "contextref", F.lit(None).cast("array<string>").alias("misfits"))
-    index = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, i)])
+        return facts.limit(0).select("filing_id", "contextref", F.lit(None).cast("array<string>").alias("misfits"))
+    # Attributes are numbered in the join that finds them: cells are shuffled with their number only.
+    numbers = facts.sparkSession.createDataFrame(list(enumerate(names)), "cell int, concept string")
+    cells = _cells(facts, concept_names(concepts).join(F.broadcast(numbers), "concept").drop("concept"))
     fits = F.coalesce(*[F.when(F.col(c).isNotNull(), True) for c in ("num", "whole", "day", "flag", "txt")], F.lit(False))
-    coded = cells.select("filing_id", "contextref", F.element_at(index, F.col("name")).alias("column"), "num", "whole", "day", "flag", "txt", fits.alias("fits"))
-    laid = coded.repartition("filing_id", "contextref").sortWithinPartitions("filing_id", "contextref", "column")
+    laid = cells.select("filing_id", "contextref", "cell", "num", "whole", "day", "flag", "txt", fits.alias("fits"))
+    laid = laid.repartition("filing_id", "contextref").sortWithinPartitions("filing_id", "contextref", "cell")
     return laid.mapInArrow(_builders(names, types), ddl)
 
 
+def widen_parts(facts: DataFrame, concepts: DataFrame, width: int = PART_COLUMNS) -> list[DataFrame]:
+    """The wide table as several of at most ``width`` columns each, for attribute lists too long for one schema; their keys are the same."""
+    listed = attributes(concepts)
+    return [widen(facts, concepts, listed[at : at + width]) for at in range(0, len(listed), width)] or [widen(facts, concepts)]
+
+
 def misfit_cells(wide: DataFrame) -> DataFrame:
     """(filing_id, contextref, name): the cells of a wide table that have rows but no value that fits."""
     return wide.select("filing_id", "contextref", F.explode("misfits").alias("name"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from factloom.operators import nested, units, wide
 from factloom.session import table
@@ -24,17 +25,57 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return wide.misfit_cells(wide.widen(table(spark, d, "facts"), table(spark, d, "concepts")))
 
 
-def _flat(name: str):
-    def query(spark: SparkSession, d: str) -> DataFrame:
-        return nested.flatten(table(spark, d, "structure_exports"))[name]
+_KEYS = ["export_id", "filing_id", "row_key", "parent_element", "parent_key", "ord"]
 
-    return query
+
+def _rows(spark: SparkSession, d: str, element: str) -> DataFrame:
+    return nested.table_of(table(spark, d, "structure_exports"), element)
+
+
+def p6_records(spark: SparkSession, d: str) -> DataFrame:
+    """One row per record, with what its metadata say, be they inlined or a table of their own."""
+    exports = table(spark, d, "structure_exports")
+    rows = nested.shred(exports, nested.planned(exports)).where(F.col("element").isin(nested.ROOT, "metadata"))
+    count = lambda c: F.max(nested.field_of(c).try_cast("bigint")).alias(c)
+    return rows.groupBy("export_id", "filing_id", F.split_part("row_key", F.lit("/"), F.lit(1)).alias("row_key")).agg(count("num_facts"), count("num_contexts"))
+
+
+def p6_contexts(spark: SparkSession, d: str) -> DataFrame:
+    of = nested.field_of
+    return _rows(spark, d, "contexts").select(
+        *_KEYS, F.try_element_at("ids", F.lit("contexts")).alias("context_id"), of("identifier.scheme").alias("scheme"), of("identifier.value").alias("identifier"),
+        of("period.instant").alias("instant"), of("period.startDate").alias("start_date"), of("period.endDate").alias("end_date"),
+    )
+
+
+def p6_dimensions(spark: SparkSession, d: str) -> DataFrame:
+    return nested.context_dimensions(table(spark, d, "structure_exports"))
+
+
+def p6_facts(spark: SparkSession, d: str) -> DataFrame:
+    columns = {c: c.lower() for c in ("name", "contextRef", "unitRef", "value", "decimals", "scale", "tag_name")}
+    return _rows(spark, d, "facts").select(*_KEYS, *[F.try_element_at("fields", F.lit(c)).alias(n) for c, n in columns.items()])
+
+
+def p6_footnotes(spark: SparkSession, d: str) -> DataFrame:
+    return _rows(spark, d, "footnotes").select(*_KEYS, *[nested.field_of(c).alias(n) for c, n in (("id", "footnote_id"), ("lang", "lang"), ("text", "text"))])
+
+
+def p6_units(spark: SparkSession, d: str) -> DataFrame:
+    measure = F.coalesce(nested.field_of("measure"), nested.field_of("value"))
+    return _rows(spark, d, "units").select(*_KEYS, F.try_element_at("ids", F.lit("units")).alias("unit_id"), measure.alias("measure"))
+
+
+def p6_columns(spark: SparkSession, d: str) -> DataFrame:
+    exports = table(spark, d, "structure_exports")
+    return nested.columns_of(nested.shred(exports, nested.planned(exports)))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return nested.context_dimensions(table(spark, d, "structure_exports"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_normalised, p5_found, p5_wide, p6_found)}
-QUERIES |= {f"p6_{name}": _flat(name) for name in ("records", "contexts", "dimensions", "facts", "footnotes", "units")}
+QUERIES = {f.__name__: f for f in (
+    p1_found, p1_normalised, p5_found, p5_wide, p6_found, p6_records, p6_contexts, p6_dimensions, p6_facts, p6_footnotes, p6_units, p6_columns,
+)}
 ORACLES: dict[str, str] = {}
