@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.session import durable
+
 #: The element of a record itself.
 ROOT = "record"
 #: Members have fields in common if one field is in more than this share of them.
@@ -96,17 +98,39 @@ _EDGE = ["above", "parent", "child", "direct", "repeated", "recursive", "objects
 _GRAPH = "above string, parent string, child string, direct boolean, repeated boolean, recursive boolean, objects boolean, data_keys boolean, keyed bigint, records bigint"
 
 
-def edges(record: dict, out: dict) -> None:
-    """Add the edges of everything in a record to ``out``.
+_PLAIN = frozenset({str, int, float, bool, type(None)})
+
+
+def plain(node: dict) -> bool:
+    """Whether an object holds single values only, none of which is encoded."""
+    for v in node.values():
+        kind = type(v)
+        if kind is str:
+            if v[:1] in _ENCODED and v:
+                return False
+        elif kind not in _PLAIN:
+            return False
+    return True
+
+
+def edges(record: dict, out: dict, seen: set | None = None) -> None:
+    """Add the edges of everything in a record to ``out``; ``seen`` remembers the fields of objects met before.
 
     (above, parent, child, direct) -> [repeated, recursive, objects, data_keys, keyed, records].
     ``direct`` edges start at an object that stands itself under a field, not in a list, and so
     may be a collection; ``above`` is the element of that object for what lies below it.
     """
+    seen = set() if seen is None else seen
     # (object, its element, the element above it if it may be a member of that one's collection, whether direct, path of elements)
     stack = [(record, ROOT, None, False, (ROOT,))]
     while stack:
         node, name, above, direct, path = stack.pop()
+        # An object of plain values adds nothing when one with its fields has been seen.
+        if plain(node):
+            fields = (above, name, direct, *node)
+            if fields in seen:
+                continue
+            seen.add(fields)
         for key, value in node.items():
             value = decoded(value)
             if value is None:
@@ -125,9 +149,9 @@ def edges(record: dict, out: dict) -> None:
                 stack.extend((v, key, None, False, below) for v in objects)
             elif isinstance(value, dict):
                 objects = [value]
-                keyed, plain = votes(value)
+                keyed, as_record = votes(value)
                 at[4] += keyed
-                at[5] += plain
+                at[5] += as_record
                 if keyed:
                     stack.extend((v, key, None, False, below) for v in value.values() if isinstance(v, dict))
                 else:
@@ -143,6 +167,7 @@ def element_graph(exports: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: dict = {}
+        seen: set = set()
 
         def rows() -> pa.RecordBatch:
             found = [(*k, *map(bool, v[:4]), *v[4:]) for k, v in out.items()]
@@ -152,10 +177,11 @@ def element_graph(exports: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch["payload"].to_pylist():
                 for record in records(text):
-                    edges(record, out)
-                if len(out) > HELD_EDGES:
+                    edges(record, out, seen)
+                if len(out) + len(seen) > HELD_EDGES:
                     yield rows()
                     out.clear()
+                    seen.clear()
         yield rows()
 
     flags = [F.bool_or(c).alias(c) for c in _EDGE[4:8]] + [F.sum(c).alias(c) for c in _EDGE[8:]]
@@ -168,10 +194,13 @@ class Plan:
 
     tables: frozenset[str] = frozenset({ROOT})
     keyed: dict[str, frozenset[str]] = field(default_factory=dict)
+    #: With a target: it and the elements it occurs in. Nothing else is looked into on the way to it.
+    towards: frozenset[str] | None = None
+    target: str | None = None
 
 
-def plan_tables(graph: DataFrame) -> Plan:
-    """Shared inlining over the edges of ``element_graph``.
+def plan_tables(graph: DataFrame, target: str | None = None) -> Plan:
+    """Shared inlining over the edges of ``element_graph``; a ``target`` is a table in any case.
 
     An element becomes a table when it repeats under a parent, is keyed or has data for
     names, is an object under more than one parent, or is recursive; every other one is
@@ -188,10 +217,18 @@ def plan_tables(graph: DataFrame) -> Plan:
     tables = children.groupBy("child").agg((F.bool_or("repeated") | F.bool_or("recursive") | (F.count_if("objects") > 1)).alias("t")).where("t").select("child")
     tables = tables.union(real.where("data_keys").select("element")).distinct()
     fields = children.where(F.col("element").isin(keyed)).groupBy("element").agg(F.collect_set("child").alias("fields"))
+    towards = None
+    if target:
+        towards, new = {target}, [target]
+        while new:
+            found = {r[0] for r in children.where(F.col("objects") & F.col("child").isin(new)).select("element").distinct().collect()}
+            new = list(found - towards)
+            towards |= found
     return Plan(
-        frozenset({ROOT, *keyed, *(r[0] for r in tables.collect())}),
+        frozenset({ROOT, *keyed, *(r[0] for r in tables.collect()), *([target] if target else [])}),
         {k: frozenset() for k in keyed} | {r["element"]: frozenset(r["fields"]) for r in fields.collect()},
-    )
+        towards and frozenset(towards), target,
+    )
 
 
 def members(value, name: str, plan: Plan) -> Iterator[tuple[str | None, object]]:
@@ -231,10 +268,11 @@ def _scalar(value) -> str:
 
 
 def rows_of(record: dict, key: str, plan: Plan) -> Iterator[tuple]:
-    """The rows of a record: (element, row_key, parent_element, parent_key, item_key, ord, ids, fields)."""
-    stack = [(record, ROOT, key, None, None, None, 0, {})]
+    """The rows of a record: (element, row_key, parent_element, parent_key, item_key, ord, ids, fields); with a target those at and below it."""
+    stack = [(record, ROOT, key, None, None, None, 0, {}, plan.target is None)]
     while stack:
-        node, element, key, parent, parent_key, item_key, place, ids = stack.pop()
+        node, element, key, parent, parent_key, item_key, place, ids, there = stack.pop()
+        there = there or element == plan.target
         fields: dict[str, str] = {}
         below: list[tuple] = []
         inline = [(node, "")] if isinstance(node, dict) else []
@@ -243,6 +281,8 @@ def rows_of(record: dict, key: str, plan: Plan) -> Iterator[tuple]:
         while inline:
             now, path = inline.pop()
             for name, value in now.items():
+                if not there and name not in plan.towards and name != "id":
+                    continue
                 value = decoded(value)
                 if value is None:
                     continue
@@ -259,18 +299,19 @@ def rows_of(record: dict, key: str, plan: Plan) -> Iterator[tuple]:
                             fields[at] = _scalar(v)
         own = fields["id"] if fields.get("id", "").strip() else item_key
         ids = ids if own is None else {**ids, element: own}
-        yield element, key, parent, parent_key, item_key, place, list(ids.items()), list(fields.items())
+        if there:
+            yield element, key, parent, parent_key, item_key, place, list(ids.items()), list(fields.items())
         counts: dict[str, int] = {}
         for child, value, name in below:
             n = counts[child] = counts.get(child, -1) + 1
-            stack.append((value, child, f"{key}/{child}.{n}", element, key, name, n, ids))
+            stack.append((value, child, f"{key}/{child}.{n}", element, key, name, n, ids, there))
 
 
 _NAMES = ["export_id", "filing_id", "element", "row_key", "parent_element", "parent_key", "item_key", "ord", "ids", "fields"]
 _SHRED = "export_id bigint, filing_id string, element string, row_key string, parent_element string, parent_key string, item_key string, ord int, ids map<string,string>, fields map<string,string>"
 
 
-def shred(exports: DataFrame, plan: Plan, under: str | None = None) -> DataFrame:
+def shred(exports: DataFrame, plan: Plan) -> DataFrame:
     """One row per object or value of an element that has a table of its own.
 
     ``row_key`` is unique within ``export_id``; ``parent_element`` and ``parent_key`` are
@@ -278,8 +319,8 @@ def shred(exports: DataFrame, plan: Plan, under: str | None = None) -> DataFrame
     among siblings; ``ids`` has by element the natural ids (own ``id``, else data key) of the
     row and of those above it, ``fields`` the inlined values under dotted paths. Nothing in a
     payload is left out but nulls. Null, blank and cut-off payloads, and those nested deeper
-    than the JSON parser goes, give no row. With ``under`` only rows of that element and of
-    those below it are returned.
+    than the JSON parser goes, give no row. A plan with a target gives the rows at and below
+    it only.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,16 +334,15 @@ def shred(exports: DataFrame, plan: Plan, under: str | None = None) -> DataFrame
                     for export, filing, text in zip(*(part[c].to_pylist() for c in ("export_id", "filing_id", "payload")))
                     for i, record in enumerate(records(text))
                     for row in rows_of(record, f"r{i}", plan)
-                    if under is None or row[0] == under or f"/{under}." in row[1]
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=_NAMES)
 
     return exports.select("export_id", "filing_id", "payload").mapInArrow(scan, _SHRED)
 
 
-def planned(exports: DataFrame) -> Plan:
-    """The plan of the tables of all payloads."""
-    return plan_tables(element_graph(exports))
+def planned(exports: DataFrame, target: str | None = None) -> Plan:
+    """The plan of the tables of all payloads, which are scanned once for it."""
+    return plan_tables(durable(element_graph(exports)), target)
 
 
 def flatten(exports: DataFrame) -> dict[str, DataFrame]:
@@ -330,7 +370,7 @@ def field_of(name: str) -> Column:
 
 def table_of(exports: DataFrame, element: str) -> DataFrame:
     """The rows of one element, none if it has no table."""
-    return shred(exports, planned(exports)).where(F.col("element") == element)
+    return shred(exports, planned(exports, element)).where(F.col("element") == element)
 
 
 def context_dimensions(exports: DataFrame) -> DataFrame:
@@ -339,7 +379,7 @@ def context_dimensions(exports: DataFrame) -> DataFrame:
     Read from the tables at and below ``contexts``: a row that is named by a dimension and
     holds its member, or whose fields name both.
     """
-    rows = shred(exports, planned(exports), under="contexts").withColumn("context_id", F.try_element_at("ids", F.lit("contexts")))
+    rows = shred(exports, planned(exports, "contexts")).withColumn("context_id", F.try_element_at("ids", F.lit("contexts")))
     named = F.when(F.col("item_key").isNotNull() & (F.col("element") != "contexts"), F.struct(F.col("item_key").alias("dimension"), F.try_element_at("fields", F.lit("value")).alias("member")))
     keys = F.filter(F.map_keys("fields"), lambda k: (k == "dimension") | k.endswith(".dimension"))
     of = lambda k, name: F.try_element_at("fields", F.concat(F.left(k, F.length(k) - len("dimension")), F.lit(name)))

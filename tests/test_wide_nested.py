@@ -136,7 +136,7 @@ def test_no_rows_without_the_plan(spark, monkeypatch):
     """Dimensions come out of the tables of the plan: with other tables there are others."""
     df = _frame(spark, RECORD)
     assert {tuple(r)[1:] for r in nested.context_dimensions(df).collect()} == WANT
-    monkeypatch.setattr(nested, "planned", lambda exports: nested.Plan())
+    monkeypatch.setattr(nested, "planned", lambda exports, target: nested.Plan())
     assert {tuple(r)[1:] for r in nested.context_dimensions(df).collect()} != WANT
 
 
