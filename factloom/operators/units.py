@@ -160,17 +160,18 @@ def declared(facts: DataFrame, units: DataFrame, concepts: DataFrame, keys=None)
     # Measures are read once per unit, not once per fact.
     measures = units.where("filing_id is not null and unit_id is not null").groupBy("filing_id", "unit_id").agg(F.min("measure").alias("measure"))
     measures = measures.select(F.col("filing_id").alias("m_filing"), F.col("unit_id").alias("m_unit"), unit_of(F.col("measure")).alias("m_code")).where("m_code is not null")
-    f = facts.select("fact_id", "filing_id", "contextref", "name", "pos", "unitref", "scale", "value", "caption").withColumn("read", read_figure(F.col("value")))
-    f = f.where("read.figure is not null").join(names, F.col("name") == F.col("key"), "left")
+    # As a generator the figure is read once; a filter on it would read it again.
+    figures = F.inline(F.filter(F.array(read_figure(F.col("value"))), lambda r: r["figure"].isNotNull())).alias("read_figure", "read_exponent", "read_unit")
+    f = facts.select("fact_id", "filing_id", "contextref", "name", "pos", "unitref", "scale", "caption", figures).join(names, F.col("name") == F.col("key"), "left")
     f = f.where(F.col("type").isNull() | F.col("type").isin(*TYPE_KINDS)).withColumn("concept", F.coalesce("concept", "name"))
-    word, scale = F.col("read.exponent"), F.col("scale").try_cast("int")
+    word, scale = F.col("read_exponent"), F.col("scale").try_cast("int")
     # A scale attribute or a scale word is the fact's own; a caption speaks where neither does.
     silent = F.col("scale").isNull() & (word == 0)
     kept = keys(F.col("filing_id"), F.col("contextref"), F.col("concept")) if keys else [F.col("contextref"), F.col("concept")]
     # What the join of the units does not need of the texts stays behind.
     f = f.select(
-        "fact_id", "filing_id", "unitref", *kept, F.xxhash64("filing_id", "concept").alias("device"), "pos", F.col("read.figure").alias("figure"),
-        lookup({u: i for i, u in enumerate(UNIT_LIST)}, F.col("read.unit")).alias("written"), lookup({t: KINDS.index(k) for t, k in TYPE_KINDS.items()}, F.col("type")).alias("type_kind"),
+        "fact_id", "filing_id", "unitref", *kept, F.xxhash64("filing_id", "concept").alias("device"), "pos", F.col("read_figure").alias("figure"),
+        lookup({u: i for i, u in enumerate(UNIT_LIST)}, F.col("read_unit")).alias("written"), lookup({t: KINDS.index(k) for t, k in TYPE_KINDS.items()}, F.col("type")).alias("type_kind"),
         (F.coalesce(scale, F.lit(0)) + word).alias("stated"), F.when((scale != 0) & (word != 0), F.greatest(scale, word)).alias("other_exponent"),
         F.when(silent, caption_powers(F.col("caption"))).alias("caps"),
     )
