@@ -8,9 +8,10 @@ worst sentence.
 
 Terms are read behind common masks: look-alike letters, digits and signs for letters,
 stretched, spaced and dotted spelling, invisible characters and stars. The model is
-trained on the reviewers' labels (a label speaks for a whole text, so the sentence it is
-about is found by turns of scoring and training) together with the fixed sentences of
-``seeds``, which give it a start in every language.
+trained on the texts that reviewers labelled (a label speaks for a whole text, so the
+sentence it is about is found by turns of scoring and training) together with the fixed
+sentences of ``seeds``, which give it a start in every language. Texts without a label
+play no part in training; all texts are scored whole.
 """
 
 from __future__ import annotations
@@ -38,12 +39,9 @@ STRIDE = LONGEST // 2
 WIDTH = 2 * LONGEST
 #: Labelled documents used for training, at most: the first by a hash of their id.
 LABELLED_LIMIT = 10_000
-#: Sentences taken from one document without opinions, at most (those longer are sampled evenly); labelled ones keep all.
-SENTENCES_PER_DOC = 200
 ROUNDS, EPOCHS, RATE, DECAY = 3, 12, 0.12, 3e-5
-#: Documents without opinions used as mostly harmless ones, at most; sentences of theirs above SUSPECT are left out,
-#: and the worst sentence of an offensive text below DOUBTFUL is not held against it (both before the logistic function).
-UNLABELLED_LIMIT, SUSPECT, DOUBTFUL = 2500, -1.0, 0.0
+#: The worst sentence of an offensive text below it (before the logistic function) is not held against it.
+DOUBTFUL = 0.0
 #: A document is offensive when the probability of its worst sentence is at least this.
 THRESHOLD = 0.4
 CHUNK_BYTES = 8_000_000
@@ -299,18 +297,16 @@ def _padded(terms: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(rows: np.ndarray, labels: np.ndarray, weights: np.ndarray, model: dict | None = None, seed: int = 7, epochs: int | None = None) -> dict:
-    """Fit the machine to padded sentences by AdaGrad on the weighted logistic loss."""
+def train(rows: np.ndarray, labels: np.ndarray, weights: np.ndarray, seed: int = 7, pairs: bool = True) -> dict:
+    """Fit the machine to padded sentences by AdaGrad on the weighted logistic loss; without ``pairs`` additive weights only, for comparison."""
     rng = np.random.default_rng(seed)
-    if model is None:
-        w, v, b = np.zeros(BUCKETS), rng.normal(0, 0.05, (BUCKETS, FACTORS)), -2.0
-    else:
-        w, v, b = model["w"].astype(np.float64), model["v"].astype(np.float64), float(model["b"])
+    # Vectors of zero stay zero.
+    w, v, b = np.zeros(BUCKETS), rng.normal(0, 0.05 if pairs else 0.0, (BUCKETS, FACTORS)), -2.0
     v[NOTHING] = 0.0
     gw, gv, gb = np.full(BUCKETS, 0.1), np.full((BUCKETS, FACTORS), 0.1), 0.1
     batch = 256
     length = (rows != NOTHING).sum(1)
-    for _ in range(epochs or EPOCHS):
+    for _ in range(EPOCHS):
         # Batches of like length keep the rows dense; their order is random.
         order = np.lexsort((rng.random(len(rows)), length))
         for lo in rng.permutation(np.arange(0, len(order), batch)):
@@ -353,30 +349,26 @@ def _frequency(bags: list[np.ndarray]) -> np.ndarray:
     return count
 
 
-def fit(bags: list[tuple[int, np.ndarray]]) -> dict:
-    """Train on seeds and on texts, each given as (label, padded sentences); label -1 is a text without opinions.
+def fit(bags: list[tuple[int, np.ndarray]], pairs: bool = True) -> dict:
+    """Train on seeds and on labelled texts, each given as (label, padded sentences).
 
     Every round scores the sentences of the texts labelled offensive, takes the worst one
-    of each as the offensive one, and trains on those, the seeds, all sentences of the
-    texts labelled harmless, and those of the texts without opinions, which are mostly
-    harmless: of them, sentences that score high so far are left out.
+    of each as the offensive one, and trains on those, the seeds, and all sentences of the
+    texts labelled harmless.
     """
     state = _worker()
     rows, labels = _seed_rows(state)
     weights = np.where(labels == 1, 1.0, 1.5)
-    of = lambda label: [r for y, r in bags if y == label and len(r)]
-    good, bad, rest = of(0), of(1), of(-1)
-    stacked = lambda group: np.unique(np.concatenate(group), axis=0, return_counts=True) if group else (np.zeros((0, WIDTH), dtype=np.uint16), np.zeros(0))
-    (harmless, n_harmless), (other, n_other) = stacked(good), stacked(rest)
+    good, bad = ([r for y, r in bags if y == label and len(r)] for label in (0, 1))
+    harmless, times = np.unique(np.concatenate(good), axis=0, return_counts=True) if good else (np.zeros((0, WIDTH), dtype=np.uint16), np.zeros(0))
     # What many harmless texts say counts for more, by the logarithm.
-    much, more = 1 + np.log(np.maximum(n_harmless, 1)), 1 + np.log(np.maximum(n_other, 1))
+    much = 1 + np.log(np.maximum(times, 1))
     held = {r.tobytes() for r in harmless}
-    # Terms much more frequent in offensive texts than in the others help the first choice.
-    clean = good + rest
-    odds = np.log((_frequency(bad) + 0.5) / (len(bad) + 1.0)) - np.log((_frequency(clean) + 0.5) / (len(clean) + 1.0))
+    # Terms much more frequent in offensive texts than in harmless ones help the first choice.
+    odds = np.log((_frequency(bad) + 0.5) / (len(bad) + 1.0)) - np.log((_frequency(good) + 0.5) / (len(good) + 1.0))
     odds[NOTHING] = 0.0
-    model = train(np.concatenate([rows, harmless]), np.concatenate([labels, np.zeros(len(harmless))]), np.concatenate([weights, 0.3 * much]))
-    for turn in range(ROUNDS if bad or clean else 0):
+    model = train(np.concatenate([rows, harmless]), np.concatenate([labels, np.zeros(len(harmless))]), np.concatenate([weights, 0.3 * much]), pairs=pairs)
+    for turn in range(ROUNDS if bad or good else 0):
         taken = []
         for r in bad:
             score = _score_rows(r, model)
@@ -388,12 +380,11 @@ def fit(bags: list[tuple[int, np.ndarray]]) -> dict:
                     if turn == 0 or score[i] > DOUBTFUL:
                         taken.append(r[i])
                     break
-        calm = _score_rows(other, model) < SUSPECT
-        parts = [(rows, labels, weights), (harmless, 0.0, much), (other[calm], 0.0, 0.5 * more[calm]), (np.array(taken, dtype=np.uint16).reshape(-1, WIDTH), 1.0, 2.0)]
+        parts = [(rows, labels, weights), (harmless, 0.0, much), (np.array(taken, dtype=np.uint16).reshape(-1, WIDTH), 1.0, 2.0)]
         x = np.concatenate([p[0] for p in parts])
         y = np.concatenate([np.broadcast_to(p[1], len(p[0])) for p in parts])
         g = np.concatenate([np.broadcast_to(p[2], len(p[0])) for p in parts])
-        model = train(x, y, g, seed=7 + turn)
+        model = train(x, y, g, seed=7 + turn, pairs=pairs)
     return model
 
 
@@ -415,30 +406,23 @@ def opinions(labels: DataFrame) -> DataFrame:
     return share.where("share <> 0.5").select("doc_id", F.when(F.col("share") > 0.5, 1).otherwise(0).alias("label"))
 
 
-def labelled_bags(documents: DataFrame, labels: DataFrame, limit: int = LABELLED_LIMIT, unlabelled: int = UNLABELLED_LIMIT) -> list[tuple[int, np.ndarray]]:
-    """(label, padded sentences) of at most ``limit`` labelled and ``unlabelled`` other documents; the texts are cut up where they are."""
-    said = opinions(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    texts = documents.select("doc_id", "text").where("text is not null and text <> ''")
-    with_opinion = texts.join(small(said), "doc_id").select("text", "label")
-    without = texts.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(unlabelled)
-    without = without.join(opinions(labels).select("doc_id"), "doc_id", "left_anti")
-    without = texts.join(small(without), "doc_id").select("text", F.lit(-1).alias("label"))
-    joined = with_opinion.unionByName(without)
+def labelled_bags(documents: DataFrame, labels: DataFrame, limit: int = LABELLED_LIMIT, keep=None) -> list[tuple[int, np.ndarray]]:
+    """(label, all its padded sentences) of at most ``limit`` labelled documents; the texts are cut up where they are.
+
+    ``keep`` restricts the labelled documents, for tests on the others.
+    """
+    said = opinions(labels)
+    said = (said if keep is None else said.where(keep)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    joined = documents.select("doc_id", "text").where("text is not null and text <> ''").join(small(said), "doc_id").select("text", "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = _worker()
         for batch in batches:
             terms, starts, text = sentences(batch["text"], state)
-            ys = batch["label"].to_pylist()
             rows = _padded(terms, starts)
-            out = []
-            for i, y in enumerate(ys):
-                lo, hi = np.searchsorted(text, [i, i + 1])
-                part = np.unique(rows[lo:hi], axis=0)
-                if y < 0 and len(part) > SENTENCES_PER_DOC:
-                    part = part[np.linspace(0, len(part) - 1, SENTENCES_PER_DOC).astype(int)]
-                out.append((y, part.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in out], pa.int32()), pa.array([r for _, r in out], pa.binary())], names=["label", "rows"])
+            edges = np.searchsorted(text, np.arange(batch.num_rows + 1))
+            out = [np.unique(rows[lo:hi], axis=0).tobytes() for lo, hi in zip(edges, edges[1:])]
+            yield pa.RecordBatch.from_arrays([batch["label"].cast(pa.int32()), pa.array(out, pa.binary())], names=["label", "rows"])
 
     found = joined.mapInArrow(run, "label int, rows binary").collect()
     bags = [(r["label"], np.frombuffer(bytes(r["rows"]), dtype=np.uint16).reshape(-1, WIDTH)) for r in found]
@@ -446,13 +430,14 @@ def labelled_bags(documents: DataFrame, labels: DataFrame, limit: int = LABELLED
     return sorted(bags, key=lambda b: (b[0], zlib.crc32(b[1].tobytes()), len(b[1])))
 
 
-def score_documents(documents: DataFrame, labels: DataFrame, limit: int = LABELLED_LIMIT) -> DataFrame:
+def score_documents(documents: DataFrame, labels: DataFrame, limit: int = LABELLED_LIMIT, model: dict | None = None) -> DataFrame:
     """``doc_id, source, score, offensive`` for every document.
 
     ``score`` is the probability of the worst sentence, 0 for null and empty texts, which
-    are not offensive. Without labels the fixed sentences alone train the model.
+    are not offensive. Without labels the fixed sentences alone train the model. A model
+    that ``fit`` has made may be given.
     """
-    model = documents.sparkSession.sparkContext.broadcast(fit(labelled_bags(documents, labels, limit)))
+    model = documents.sparkSession.sparkContext.broadcast(model or fit(labelled_bags(documents, labels, limit)))
     kind = dict(documents.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -480,3 +465,23 @@ def rates(scored: DataFrame) -> DataFrame:
     """Per source: documents, offensive ones and their share."""
     n, bad = F.count("*"), F.count_if("offensive")
     return scored.groupBy("source").agg(n.alias("n_docs"), bad.alias("n_offensive"), (bad / n).alias("rate"), F.avg("score").alias("mean_score"))
+
+
+#: Labelled documents that a test on the others is trained on, as a share.
+TRAINED_SHARE = 0.6
+
+
+def held_out(documents: DataFrame, labels: DataFrame, pairs: bool = True) -> DataFrame:
+    """Trained on a share of the labelled documents, tried on the others: per language (null: all) ``n, label_positive, found, both, precision, recall``.
+
+    Which documents are held out goes by a hash of the id. The labels are taken as they
+    are, wrong ones included. Without ``pairs`` additive weights are tried instead.
+    """
+    trained = F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(1000)) < int(1000 * TRAINED_SHARE)
+    model = fit(labelled_bags(documents, labels, keep=trained), pairs)
+    rest = opinions(labels).where(~trained)
+    texts = documents.join(small(rest.select("doc_id")), "doc_id", "left_semi")
+    scored = score_documents(texts, labels, model=model).join(rest, "doc_id").join(texts.select("doc_id", F.coalesce(F.lower(F.substring(F.trim("lang"), 1, 2)), F.lit("und")).alias("lang")), "doc_id")
+    n, hit = F.count("*"), F.count_if(F.col("offensive") & (F.col("label") == 1))
+    said, found = F.sum("label"), F.count_if("offensive")
+    return scored.rollup("lang").agg(n.alias("n"), said.alias("label_positive"), found.alias("found"), hit.alias("both"), F.try_divide(hit, found).alias("precision"), F.try_divide(hit, said).alias("recall"))

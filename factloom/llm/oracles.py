@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from factloom.llm.segments import ABBREVIATIONS
+
 P2_FOUND = r"""
 with keyed as (
   select f.*, coalesce(
@@ -39,4 +41,21 @@ select filing_id, field_name, record_id from (
 where rn = 1
 """
 
-ORACLES = {"p2_found": P2_FOUND}
+_ABBREVIATED = "|".join(sorted(w.replace(".", r"\.") for w in ABBREVIATIONS))
+_BREAK = r"\n"
+# The longest stretch is measured without the separators. Full stops behind abbreviations and single letters are taken out first.
+P3_FOUND = rf"""
+with long as (select section_key, regexp_replace(text_content, '\r\n?', chr(10), 'g') as t from sections where length(text_content) > 4000),
+stops as (
+  select *, regexp_replace(regexp_replace(t, '(?i)(^|[\s(\["''“„«])({_ABBREVIATED})\.', '\1\2', 'g'), '(^|[\s(\["''“„«])(\pL)\.', '\1\2', 'g') as plain from long),
+longest as (
+  select section_key,
+    list_max(list_transform(string_split_regex(t, '{_BREAK}[ \t]*{_BREAK}\s*'), lambda x: length(x))) as paragraph,
+    list_max(list_transform(string_split_regex(t, '{_BREAK}'), lambda x: length(x))) as line,
+    list_max(list_transform(string_split_regex(plain, '[.!?…]+["''”’»)\]]*\s+|[。！？｡]+["''”’」』）]*\s*|{_BREAK}'), lambda x: length(x))) as sentence,
+    list_max(list_transform(string_split_regex(t, '\s+|[。！？｡]+'), lambda x: length(x))) as word
+  from stops)
+select section_key, case when paragraph <= 4000 then 'paragraph' when line <= 4000 then 'line' when sentence <= 4000 then 'sentence' when word <= 4000 then 'word' else 'none' end as cut_level from longest
+"""
+
+ORACLES = {"p2_found": P2_FOUND, "p3_found": P3_FOUND}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from factloom.llm import abuse, budget, containers, mixing, segments, survivor
 from factloom.session import table
@@ -62,11 +63,17 @@ def p9_scores(spark: SparkSession, d: str) -> DataFrame:
     return abuse.score_documents(table(spark, d, "documents"), table(spark, d, "review_labels"))
 
 
+def p9_held_out(spark: SparkSession, d: str) -> DataFrame:
+    """How the machine, and additive weights for comparison, do on labelled documents they were not trained on."""
+    tables = table(spark, d, "documents"), table(spark, d, "review_labels")
+    return abuse.held_out(*tables).withColumn("model", F.lit("pairs")).unionByName(abuse.held_out(*tables, pairs=False).withColumn("model", F.lit("additive")))
+
+
 def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     return abuse.rates(p9_scores(spark, d))
 
 
 QUERIES = {f.__name__: f for f in (
     p2_found, p2_survivors, p3_found, p3_pieces, p4_token_totals, p4_section_tokens, p4_document_tokens,
-    p7_containers, p7_fill, p8_mixture, p8_shares, p9_found, p9_scores, p9_rates,
+    p7_containers, p7_fill, p8_mixture, p8_shares, p9_found, p9_scores, p9_rates, p9_held_out,
 )}

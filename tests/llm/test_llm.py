@@ -281,6 +281,17 @@ def test_labels_add_knowledge(spark):
     assert got[100] and not got[101]
 
 
+def test_held_out(spark):
+    rude = ["You are a filthy moron.", "shut up you stupid idiot", "all foreigners are vermin"]
+    rows = [(i, f"Volume {i} was thin. " + (rude[i % 3] if i % 2 else "Dividends were paid."), "s", "EN-us" if i % 4 else None) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, i, "r", i % 2, TS) for i in range(80)], "label_id bigint, doc_id bigint, reviewer string, offensive int, reviewed_at timestamp")
+    report = {r["lang"]: r for r in abuse.held_out(docs, labels).collect()}
+    assert set(report) == {None, "en", "und"} and 10 < report[None]["n"] == report["en"]["n"] + report["und"]["n"] < 60
+    assert report[None]["recall"] == report[None]["precision"] == 1.0
+    assert abuse.held_out(docs, labels.limit(0), pairs=False).where("n > 0").count() == 0
+
+
 def test_opinions(spark):
     rows = [(1, 1, "a", 1, TS), (2, 1, "a", 0, TS + datetime.timedelta(1)), (3, 2, "a", 1, TS), (4, 2, "b", 0, TS), (5, 3, "a", None, TS), (6, None, "a", 1, TS), (7, 4, "a", 1, TS), (8, 4, "b", 1, None)]
     labels = spark.createDataFrame(rows, "label_id bigint, doc_id bigint, reviewer string, offensive int, reviewed_at timestamp")
@@ -307,4 +318,5 @@ def test_labelled_documents_keep_all_sentences(spark):
     text = ". ".join(f"the {w} plan" for w in words[:300])
     docs = spark.createDataFrame([(i, text) for i in (1, 2, 3)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(1, 1, "a", 1, TS), (2, 2, "a", 0, TS)], "label_id bigint, doc_id bigint, reviewer string, offensive int, reviewed_at timestamp")
-    assert [(y, len(rows)) for y, rows in abuse.labelled_bags(docs, labels)] == [(-1, 200), (0, 300), (1, 300)]
+    assert [(y, len(rows)) for y, rows in abuse.labelled_bags(docs, labels)] == [(0, 300), (1, 300)]
+    assert [y for y, _ in abuse.labelled_bags(docs, labels, keep=F.col("doc_id") == 2)] == [0]
