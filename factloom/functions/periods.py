@@ -171,17 +171,59 @@ def context_period(ref: Column) -> Column:
     return F.coalesce(*[reader(ref) for _, _, reader in _FORMATS], F.lit(None).cast(PERIOD_DDL))
 
 
+def period_format(ref: Column) -> Column:
+    """The name of the registered format that reads a context id, null if none does."""
+    return F.coalesce(*[F.when(reader(ref).isNotNull(), name) for name, _, reader in _FORMATS], F.lit(None).cast("string"))
+
+
 def context_date(period_end: Column, ref: Column) -> Column:
     """The day a context is about: its period's end, else the day or end in its id, else an ISO date in its id."""
     p = context_period(ref)
     return F.coalesce(period_end, p["instant"], p["enddate"], F.nullif(F.regexp_extract(ref, r"(\d{4}-\d{2}-\d{2})", 1), F.lit("")))
 
 
-def period_in_text(text: Column) -> Column:
-    """``struct<fiscal_year, fiscal_period>`` stated in the first 10,000 characters of a document."""
-    head = F.substring(text, 1, 10000)
-    year = F.regexp_extract(head, r"(?i)fiscal\s+(?:year\s+)?(20\d{2})", 1)
-    quarter = F.lower(F.regexp_extract(head, r"(?i)\b(first|second|third|fourth)\s+(?:fiscal\s+)?quarter", 1))
-    annual = head.rlike(r"(?i)annual report|for the fiscal year ended|form 10-k")
-    number = F.when(quarter == "first", "Q1").when(quarter == "second", "Q2").when(quarter == "third", "Q3").when(quarter == "fourth", "Q4")
-    return F.struct(F.nullif(year, F.lit("")).alias("fiscal_year"), F.when(annual, "annual").otherwise(number).alias("fiscal_period"))
+MONTH_NAMES = "january|february|march|april|may|june|july|august|september|october|november|december"
+_DATED = rf"(?:ended|ending)[^\n]*?(?:{MONTH_NAMES})\s+\d{{1,2}},?\s+(\d{{4}})"
+_DATED_LATER = rf"[^\n]*?{_DATED}"
+#: Where the fiscal year of a report is looked for in its first characters, in order; the year is the group.
+YEAR_PATTERNS = {
+    "10-K": [rf"(?:for|the|fiscal|year){_DATED_LATER}", rf"(?:for|the|period){_DATED_LATER}", r"(?:fiscal|year)[^\n]*?(\d{4})"],
+    "10-Q": [
+        rf"for the\s+(?:quarterly report|quarterly period|quarterly|three months)\s+{_DATED}", rf"for the\s+(?:quarter|three months)\s+{_DATED}",
+        r"(?:fiscal|year)[^\n]*?(\d{4})",
+    ],
+}
+#: A mention of the quarter, and the words in it, in order.
+QUARTER_PATTERN = r"((?:quarterly report|form 10-q|quarterly period|quarterly)[^\n]*?(?:first|second|third|fourth|1st|2nd|3rd|4th|\sq1|\sq2|\sq3|\sq4))"
+QUARTER_WORDS = {"Q1": "first|1st|q1", "Q2": "second|2nd|q2", "Q3": "third|3rd|q3", "Q4": "fourth|4th|q4"}
+#: The day a quarterly report says its period ended.
+STATED_END = rf"(?:quarterly report|quarterly|quarter|period)[^\n]*?(?:ended|ending)[^\n]*?((?:{MONTH_NAMES})\s+\d{{1,2}},?\s+\d{{4}})"
+HEAD_CHARACTERS = 10_000
+
+
+def period_in_document(text: Column, form: Column, period_end: Column, year_end_month: Column | None = None) -> Column:
+    """``struct<fiscal_year, fiscal_period>`` of an annual or quarterly report, by what its first characters say.
+
+    A 10-K is annual, its year the one named with a period's end, else with a fiscal year,
+    else that of ``period_end``. A 10-Q has the quarter it mentions; where it mentions none
+    and ``year_end_month`` (of the company's calendar) is known, that of the day it states
+    for the period's end, else of ``period_end``, and the fiscal year by that calendar. Other
+    forms, and what is found nowhere, are null.
+    """
+    head = F.lower(F.substring(text, 1, HEAD_CHARACTERS))
+    first = lambda pattern: F.nullif(F.regexp_extract(head, pattern, 1), F.lit(""))
+    end_year = F.year(period_end).cast("string")
+    annual = F.coalesce(*[first(p) for p in YEAR_PATTERNS["10-K"]], end_year)
+    mention = first(QUARTER_PATTERN)
+    quarter = F.coalesce(*[F.when(mention.rlike(words), q) for q, words in QUARTER_WORDS.items()])
+    stated = F.try_to_timestamp(F.initcap(F.regexp_replace(first(STATED_END), r"\s+", " ")), F.lit("MMMM d, yyyy")).cast("date")
+    day = F.coalesce(stated, period_end)
+    month = F.lit(None).cast("int") if year_end_month is None else year_end_month
+    ahead = F.pmod(F.month(day) - month, F.lit(12))
+    inferred = F.when(ahead == 0, "annual").otherwise(F.concat(F.lit("Q"), F.ceil(ahead / 3).cast("string")))
+    inferred_year = (F.year(day) + F.when(F.month(day) > month, 1).otherwise(0)).cast("string")
+    # A year by the calendar goes with a quarter by the calendar.
+    year = F.coalesce(F.when(quarter.isNull() & month.isNotNull(), inferred_year), *[first(p) for p in YEAR_PATTERNS["10-Q"]], F.year(stated).cast("string"), end_year)
+    return F.when(form == "10-K", F.struct(annual.alias("fiscal_year"), F.lit("annual").alias("fiscal_period"))).when(
+        form == "10-Q", F.struct(year.alias("fiscal_year"), F.coalesce(quarter, inferred).alias("fiscal_period"))
+    )

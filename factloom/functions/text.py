@@ -162,3 +162,17 @@ def number_tokens(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Words between white space; 0 for null and blank texts."""
     return F.when(F.coalesce(F.trim(text), F.lit("")) == "", 0).otherwise(F.size(F.split(F.trim(text), r"\s+")))
+
+
+#: Identifiers of contexts and concepts before the first words in capitals.
+LEADING_IDENTIFIERS = (r"^(?:[a-z0-9:\-]+\s*)+(UNITED STATES|FORM|[A-Z]{3,})", "@NOTE: XBRL context identifiers removed\n\n$1")
+
+
+def without_leading_identifiers(text: Column) -> Column:
+    """A text without the identifiers it begins with, and a note that they are gone."""
+    return F.regexp_replace(text, *LEADING_IDENTIFIERS)
+
+
+def lost_numbers(before: Column, after: Column) -> Column:
+    """The numbers written in one text and not in the other."""
+    return F.array_except(number_tokens(before), number_tokens(after))

@@ -14,6 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factloom.functions.periods import MONTH_NAMES, QUARTER_WORDS
+
+#: A quarter's end in words, the month in the group; and a mention of which quarter it is.
+DATED_QUARTER = r"(?i)(?:for the|for our|quarterly|quarter ended) ([a-z]+)\s+\d{1,2}(?:st|nd|rd|th)?,?\s+\d{4}"
+NAMED_QUARTER = r"(?i)((?:quarterly report|form 10-q)[^\n]*?(?:quarterly|quarter|three months)[^\n]*?(?:first|second|third|fourth|1st|2nd|3rd|4th|\sQ1|\sQ2|\sQ3|\sQ4))"
 #: Share of the most common value from which consensus raises the confidence, and by how much.
 CONSENSUS, BOOST = 0.7, 1.2
 
@@ -77,15 +82,31 @@ def model_confidence(folded: DataFrame, group) -> DataFrame:
     return folded.groupBy(group.alias("group")).agg(F.avg("confidence").alias("confidence"), F.count("*").alias("patterns"))
 
 
-def filing_signals(filings: DataFrame) -> DataFrame:
-    """Evidence rows of filings: the month of the period end (0.8), the stated period (0.7), a filing lag of 20 to 90 days (0.6)."""
-    base = filings.where("company_ticker is not null and period_end_date is not null")
-    month = F.month("period_end_date").cast("string")
-    row = lambda df, kind, value, conf: df.select(F.concat_ws("|", "company_ticker", F.lit(kind)).alias("key"), F.col("filing_date").cast("timestamp").alias("ts"), F.col("filing_id").alias("signal_id"), value.alias("value"), F.lit(conf).alias("confidence"))
-    lag = F.datediff("filing_date", "period_end_date")
-    out = row(base, "period_end_month", month, 0.8)
-    out = out.unionByName(row(base.where("fiscal_period is not null"), "stated_period", F.concat_ws(":", month, "fiscal_period"), 0.7))
-    return out.unionByName(row(base.where(lag.between(20, 90)), "filing_lag", month, 0.6))
+def filing_signals(filings: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """Evidence rows of filings about their company's fiscal calendar.
+
+    From annual reports (10-K) the month and the day of the period's end (0.8), and the
+    month again (0.6) if the filing came 20 to 90 days later; from texts (filing_id,
+    text_id, text) of quarterly reports (10-Q) the quarter they mention, for the month of the
+    day beside it (0.7). Keys are ``ticker|kind``. Filings without a ticker or an end, and
+    forms spelled otherwise, give no evidence.
+    """
+    base = filings.where("company_ticker is not null and period_end_date is not null").withColumn("form", F.trim("filing_type"))
+    annual = base.where("form = '10-K'")
+    row = lambda df, kind, value, conf, sid=F.col("filing_id"): df.select(F.concat_ws("|", "company_ticker", F.lit(kind)).alias("key"), F.col("filing_date").cast("timestamp").alias("ts"), sid.alias("signal_id"), value.alias("value"), F.lit(conf).alias("confidence"))
+    month, day = F.month("period_end_date").cast("string"), F.dayofmonth("period_end_date").cast("string")
+    out = row(annual, "fiscal_year_end_month", month, 0.8).unionByName(row(annual, "fiscal_year_end_day", day, 0.8))
+    late = annual.where(F.datediff("filing_date", "period_end_date").between(20, 90))
+    out = out.unionByName(row(late, "fiscal_year_end_month", month, 0.6, F.concat(F.col("filing_id"), F.lit("|lag"))))
+    if texts is None:
+        return out
+    dated = F.regexp_extract("text", DATED_QUARTER, 1)
+    told = texts.select("filing_id", "text_id", F.lower(F.substring(dated, 1, 3)).alias("name"), F.lower(F.regexp_extract("text", NAMED_QUARTER, 1)).alias("mention")).where("name <> '' and mention <> ''")
+    named = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTH_NAMES.split("|")]), F.col("name")).cast("int")
+    quarter = F.coalesce(*[F.when(F.col("mention").rlike(words), q) for q, words in QUARTER_WORDS.items()])
+    told = base.where("form = '10-Q'").join(told, "filing_id")
+    at = F.when(named > 0, named).otherwise(F.month("period_end_date"))
+    return out.unionByName(row(told, "quarter_mapping", F.concat_ws(":", at.cast("string"), quarter), 0.7, F.concat_ws("|", "filing_id", F.col("text_id").cast("string"))))
 
 
 def fold_stream(signals: DataFrame) -> DataFrame:

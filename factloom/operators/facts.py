@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.functions import text
+from factloom.functions import periods, text
 from factloom.operators.ordered import numbered
 
 
@@ -78,3 +78,40 @@ def most_reported(facts: DataFrame, keys: list[str], value: str, n: int) -> Data
 def readable(facts: DataFrame) -> DataFrame:
     """Facts with a readable concept name and the value as documents show it."""
     return facts.withColumn("readable", text.readable_concept(F.col("name")))
+
+
+def with_codes(facts: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Facts with the short code and the spoken label of their context, null where it is missing."""
+    c = context_codes(contexts)
+    day = lambda part: F.col(f"period.{part}").try_cast("date")
+    label = periods.context_label(day("startdate"), day("enddate"), day("instant"), text.segment_text(F.col("entity.segment")))
+    return facts.join(c.select("filing_id", F.col("context_id").alias("contextref"), "code", label.alias("label")), ["filing_id", "contextref"], "left")
+
+
+def tagged(elements: DataFrame) -> DataFrame:
+    """Elements that are facts: those with a context, other than contexts, units and references to schemas."""
+    local = F.lower(text.local_name(F.col("element")))
+    return elements.where(F.col("contextref").isNotNull() & (F.trim("contextref") != "") & ~F.coalesce(local.isin("context", "unit", "schemaref"), F.lit(False)))
+
+
+def filing_filter(filings: DataFrame, amended: bool, fiscal_year: str) -> DataFrame:
+    """Filings of a fiscal year that are amendments, or those that are none."""
+    is_amended = F.coalesce(F.trim("filing_type").endswith("/A"), F.lit(False))
+    return filings.where((is_amended == F.lit(amended)) & (F.col("fiscal_year") == fiscal_year))
+
+
+def primary_contexts(facts: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(filing_id, day, contextref, assets): per day the context with the most assets, the first in document order of equals."""
+    f = facts.where(F.col("name").isin("us-gaap:Assets", "us-gaap_Assets"))
+    f = f.select("filing_id", "contextref", F.replace("value", F.lit(","), F.lit("")).try_cast("double").alias("v"), "pos", "fact_id").where("v is not null")
+    c = unique_contexts(contexts).select("filing_id", F.col("context_id").alias("contextref"), F.col("period.enddate").alias("e"), F.col("period.instant").alias("i"))
+    day = F.coalesce("e", "i", periods.context_date(F.lit(None).cast("string"), F.col("contextref")))
+    f = f.join(c, ["filing_id", "contextref"], "left").withColumn("day", day)
+    best = F.max_by(F.struct("contextref", F.col("v").alias("assets")), F.struct("v", -F.col("pos"), -F.col("fact_id")))
+    return f.groupBy("filing_id", "day").agg(best.alias("b")).select("filing_id", "day", "b.*")
+
+
+def first_pairs(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row of each combination of ``keys`` in the given order, found by an aggregate."""
+    rest = [c for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*keys, "r.*")

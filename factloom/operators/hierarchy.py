@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.functions.text import local_name
+from factloom.operators.facts import first_pairs
 from factloom.session import durable
 
 # Ends of parent names and the ends of their children's names.
@@ -22,6 +23,49 @@ PATTERNS = {
 }
 
 
+# Ends of parent names and of the names of their children, in any statement.
+CHILD_PAIRS = [
+    ("Assets", "AssetsCurrent"), ("Assets", "AssetsNoncurrent"), ("Assets", "CashAndCashEquivalents"), ("Assets", "Inventory"),
+    ("Liabilities", "LiabilitiesCurrent"), ("Liabilities", "LiabilitiesNoncurrent"), ("Liabilities", "AccountsPayable"), ("Liabilities", "DeferredIncomeTaxLiabilities"),
+    ("StockholdersEquity", "CommonStock"), ("StockholdersEquity", "RetainedEarnings"), ("StockholdersEquity", "AccumulatedOtherComprehensiveIncome"),
+    ("Revenues", "RevenueFromContractWithCustomer"), ("CostsAndExpenses", "CostOfGoodsAndServicesSold"), ("CostsAndExpenses", "OperatingExpenses"),
+    ("NetCashProvidedByUsedInOperatingActivities", "DepreciationAndAmortization"), ("NetCashProvidedByUsedInInvestingActivities", "PaymentsToAcquirePropertyPlantAndEquipment"),
+]
+
+
+def child_of(concepts: DataFrame) -> DataFrame:
+    """(parent, child, statement): pairs of concepts of one statement where the parent's local name begins the child's, or both have the ends of a pair of the list.
+
+    ``concepts`` has ``concept, statement``; those without a statement (null or Unknown) pair
+    with nothing. Every prefix of a name, and every end it has, meets the names it may be by
+    an equi-join, so no two names are compared that have nothing in common.
+    """
+    c = concepts.where("concept is not null and statement is not null and statement <> 'Unknown'").select("concept", "statement", local_name(F.col("concept")).alias("local")).distinct()
+    prefix = F.transform(F.sequence(F.lit(1), F.greatest(F.length("local") - 1, F.lit(1))), lambda i: F.substring("local", F.lit(1), i))
+    below = c.select(F.col("concept").alias("child"), "statement", F.col("local").alias("child_local"), F.explode(prefix).alias("local"))
+    begun = below.where("local <> child_local").join(c.withColumnRenamed("concept", "parent"), ["statement", "local"]).select("parent", "child", "statement")
+    ends = lambda side: F.array_compact(F.array(*[F.when(F.col("local").endswith(e), F.lit(e)) for e in sorted({pair[side] for pair in CHILD_PAIRS})]))
+    pairs = F.broadcast(concepts.sparkSession.createDataFrame(CHILD_PAIRS, "parent_end string, child_end string"))
+    parents = c.select(F.col("concept").alias("parent"), "statement", F.explode(ends(0)).alias("parent_end")).join(pairs, "parent_end")
+    children = c.select(F.col("concept").alias("child"), "statement", F.explode(ends(1)).alias("child_end"))
+    ended = parents.join(children, ["statement", "child_end"]).where("parent <> child").select("parent", "child", "statement")
+    return begun.unionByName(ended).distinct()
+
+
+def network(presentation: DataFrame, calculation: DataFrame, concepts: DataFrame) -> DataFrame:
+    """(parent, child, ord, weight, source): the hierarchy of a set of documents.
+
+    The arcs of presentation and calculation networks; only where there are neither, those
+    that the name patterns give. Arcs without a role are left out.
+    """
+    stated = [a.where("role is not null and role <> ''").select("parent", "child", "ord", w.alias("weight"), F.lit(kind).alias("source"))
+              for a, w, kind in ((presentation, F.lit(None).cast("double"), "presentation"), (calculation, F.coalesce("weight", F.lit(1.0)), "calculation"))]
+    stated = stated[0].unionByName(stated[1])
+    guessed = pattern_arcs(concepts.sparkSession, concepts).select("parent", "child", F.col("ord").cast("double").alias("ord"), F.lit(None).cast("double").alias("weight"), F.lit("patterns").alias("source"))
+    none = stated.agg(F.count("*").alias("n")).where("n = 0").drop("n")
+    return stated.unionByName(guessed.join(F.broadcast(none.select(F.lit(1).alias("one"))), how="left_semi"))
+
+
 def pattern_arcs(spark: SparkSession, concepts: DataFrame) -> DataFrame:
     """(parent, child, ord) by name patterns over ``concept``.
 
@@ -43,8 +87,7 @@ def pattern_arcs(spark: SparkSession, concepts: DataFrame) -> DataFrame:
 
 def first_arcs(arcs: DataFrame, keys: tuple[str, ...] = ("parent", "child")) -> DataFrame:
     """The first arc of each (parent, child) in document order."""
-    w = Window.partitionBy(*keys).orderBy("pos")
-    return arcs.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    return first_pairs(arcs, list(keys), ["pos"])
 
 
 def roots(arcs: DataFrame) -> DataFrame:
@@ -119,15 +162,38 @@ def calculation_check(values: DataFrame, arcs: DataFrame, keys: list[str], toler
     return both.withColumn("agrees", F.abs(F.col("value") - F.col("summed")) <= tolerance * F.greatest(F.abs("value"), F.abs("summed")))
 
 
+#: Prefixes of element ids in standard dictionaries.
+STANDARD_PREFIXES = ("us-gaap_", "dei_", "ifrs-full_")
+
+
+def _tails(text: Column) -> Column:
+    """All ends of a text, the whole first."""
+    return F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substr(text, i))
+
+
 def resolve_references(refs: DataFrame, concepts: DataFrame) -> DataFrame:
-    """The concept each ``href`` points to, by tiers: full name, element id, fragment as name, local name; (href, concept, tier)."""
+    """The concept each ``href`` points to, by tiers; (href, concept, tier).
+
+    1: the fragment is a name; 2: of a standard fragment the part behind its prefix ends a
+    name; 3: it is an element id; 4: a part between underscores is a name, or 5 a local name;
+    6: it ends with a local name, the longest first. Within a tier the least name wins.
+    Ends are met by joining all tails of a text, never by comparing all names.
+    """
     fragment = F.element_at(F.split("href", "#"), -1)
-    named = F.regexp_replace(fragment, "^([^_]+)_", "$1:")
-    keys = F.array(*[F.struct(F.lit(t).alias("tier"), k.alias("key")) for t, k in ((1, F.col("href")), (2, fragment), (3, named), (4, F.lower(local_name(named))))])
-    tried = refs.select("href").distinct().select("href", F.inline(keys))
-    known = concepts.select(F.col("name").alias("concept"), F.inline(F.array(
-        F.struct(F.lit(1).alias("tier"), F.col("name").alias("key")), F.struct(F.lit(2).alias("tier"), F.col("concept_id").alias("key")),
-        F.struct(F.lit(3).alias("tier"), F.col("name").alias("key")), F.struct(F.lit(4).alias("tier"), F.lower(local_name(F.col("name"))).alias("key")),
-    )))
-    hits = tried.join(known, ["tier", "key"])
-    return hits.groupBy("href").agg(F.min(F.struct("tier", "concept")).alias("best")).select("href", "best.concept", "best.tier")
+    r = refs.where("href is not null").select("href", fragment.alias("f")).distinct().where("f <> ''")
+    standard = F.when(F.col("f").rlike("^(?:" + "|".join(STANDARD_PREFIXES) + ")"), F.regexp_replace("f", "^[^_]*_", ""))
+    key = lambda tier, k, rank=F.lit(0): F.struct(F.lit(tier).alias("tier"), k.alias("key"), rank.alias("rank"))
+    parts = F.split("f", "_")
+    tried = F.concat(
+        F.array(key(1, F.col("f")), key(2, standard), key(3, F.col("f"))),
+        F.transform(parts, lambda p, i: key(4, p, i)), F.transform(parts, lambda p, i: key(5, p, i)), F.transform(_tails(F.col("f")), lambda t, i: key(6, t, i)),
+    )
+    local = local_name(F.col("concept"))
+    c = concepts.where("name is not null").select(F.col("name").alias("concept"), "concept_id").distinct()
+    known = F.concat(
+        F.array(key(1, F.col("concept")), key(3, F.col("concept_id")), key(4, F.col("concept")), key(5, local), key(6, local)),
+        F.transform(_tails(F.col("concept")), lambda t: key(2, t)),
+    )
+    known = c.select("concept", F.inline(known)).drop("rank").where("key is not null and key <> ''").distinct()
+    hits = r.select("href", F.inline(tried)).where("key is not null and key <> ''").join(known, ["tier", "key"])
+    return hits.groupBy("href").agg(F.min(F.struct("tier", "rank", "concept")).alias("best")).select("href", "best.concept", "best.tier")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions import text as t
 from factloom.operators.facts import context_codes, unique_units
+from factloom.operators.ordered import carried, numbered
 
 FIELDS = ("CONCEPT", "VALUE", "CONTEXT_REF", "UNIT_REF", "DECIMALS")
 
@@ -38,6 +39,29 @@ def document_lines(filings: DataFrame, contexts: DataFrame, units: DataFrame, fa
     return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
 
 
+def filing_lines(filings: DataFrame, contexts: DataFrame, units: DataFrame, facts: DataFrame, sections: DataFrame) -> DataFrame:
+    """All lines of the whole documents: those of ``document_lines``, then statements by period, narrative sections, coverage and integrity.
+
+    Parts come in the order of ``section_ord``; ``line_ord`` orders the lines of a part and the
+    text those of one line number. A filing of any size stays lines until the sink.
+    """
+    from factloom.operators import pipeline, statements
+
+    line = lambda df, part, order, text: df.select("filing_id", F.lit(part).alias("section_ord"), order.cast("bigint").alias("line_ord"), text.alias("text"))
+    rows = statements.statement_rows(statements.statement_cells(facts))
+    rank = F.coalesce(*[F.when(F.col("statement") == s, r) for s, r in statements.RANK.items()])
+    told = line(rows, 4, rank, F.concat_ws(" | ", F.concat(F.lit("@STATEMENT: "), "statement"), "section", "text"))
+    narrative = line(sections.where("section_id is not null and trim(coalesce(text_content, '')) <> ''"), 5, F.coalesce("pos", F.lit(0)), with_markers(F.col("text_content"), F.col("section_id")))
+    c = pipeline.coverage(sections)
+    covered = line(c, 6, F.lit(0), F.format_string("@DOCUMENT_COVERAGE: %.1f%% of required, %.1f%% of standard sections; missing: %s", "required_pct", "standard_pct", "missing"))
+    i = pipeline.integrity(sections, facts)
+    kept = line(i, 7, F.lit(0), F.format_string("@DATA_INTEGRITY: %d facts, %d tables, %.1f%% preserved, %d table rows, %d paragraphs, %d included", "xbrl_facts", "tables", "preservation_pct", "table_rows", "narrative", "included"))
+    out = document_lines(filings, contexts, units, facts)
+    for part in (told, narrative, covered, kept):
+        out = out.unionByName(part)
+    return out
+
+
 def documents(lines: DataFrame) -> DataFrame:
     """(filing_id, text): the lines of each filing in order, with plain characters and less white space."""
     ordered = F.array_sort(F.collect_list(F.struct("section_ord", "line_ord", "text")))
@@ -77,11 +101,11 @@ def block_lines(facts: DataFrame) -> DataFrame:
 
 def read_block_lines(lines: DataFrame, order: list[str]) -> DataFrame:
     """Facts out of grouped lines: the context and prefix last seen are carried forward in the given order; a context begins with the empty prefix."""
-    w = Window.partitionBy("filing_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    is_, rest = lambda tag: F.col("text").startswith(f"@{tag}: "), lambda tag: F.substring("text", len(tag) + 4, 10_000)
-    context = F.last(F.when(is_("CONTEXT"), rest("CONTEXT")), ignorenulls=True).over(w)
-    prefix = F.last(F.when(is_("CONTEXT"), "").when(is_("PREFIX"), rest("PREFIX")), ignorenulls=True).over(w)
-    read = lines.withColumn("contextref", F.nullif(context, F.lit(""))).withColumn("prefix", prefix).where(~(is_("CONTEXT") | is_("PREFIX")))
+    is_, rest = lambda tag: F.col("text").startswith(f"@{tag}: "), lambda tag: F.substr("text", F.lit(len(tag) + 4))
+    # One mark holds both: every context line starts with the empty prefix, every prefix line knows its context.
+    marked = lines.withColumn("context_mark", F.when(is_("CONTEXT"), rest("CONTEXT"))).withColumn("prefix_mark", F.when(is_("CONTEXT"), "").when(is_("PREFIX"), rest("PREFIX")))
+    read = carried(carried(marked, ["filing_id"], order, "context_mark", "context"), ["filing_id"], order, "prefix_mark", "prefix_now")
+    read = read.where(~(is_("CONTEXT") | is_("PREFIX"))).withColumn("contextref", F.nullif("context", F.lit(""))).withColumn("prefix", F.col("prefix_now"))
     parts = F.split("text", r"\|", 2)
     name = F.when(F.col("prefix") == "", parts[0]).otherwise(F.concat("prefix", F.lit(":"), parts[0]))
     return read.select("filing_id", "contextref", F.nullif(name, F.lit("")).alias("name"), parts[1].alias("value"))
@@ -91,7 +115,7 @@ def consolidated_contexts(facts: DataFrame) -> DataFrame:
     """Facts with hash-like context ids replaced by ``c-n``, numbered over the sorted distinct ids of a filing."""
     long = F.col("contextref").rlike(r"^i[0-9a-f]{32}_[DI]")
     ids = facts.where(long).select("filing_id", "contextref").distinct()
-    ids = ids.withColumn("code", F.concat(F.lit("c-"), F.dense_rank().over(Window.partitionBy("filing_id").orderBy("contextref")).cast("string")))
+    ids = numbered(ids, ["filing_id"], ["contextref"]).withColumn("code", F.concat(F.lit("c-"), F.col("rn").cast("string"))).drop("rn")
     return facts.join(ids, ["filing_id", "contextref"], "left").withColumn("short_ref", F.coalesce("code", "contextref")).drop("code")
 
 

@@ -2,33 +2,88 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions import classify
+from factloom.functions.text import readable_concept
+from factloom.operators.ordered import numbered
+from factloom.session import small
 
 RANK = {"BALANCE_SHEET": 1, "INCOME_STATEMENT": 2, "CASH_FLOW": 3, "EQUITY": 4}
 
 
+def _named(facts: DataFrame) -> DataFrame:
+    """Every concept named by facts with its statement type, and its section in each statement.
+
+    The word lists are matched once per name, not once per fact.
+    """
+    names = facts.select(F.col("name").alias("__name")).where("name is not null").distinct()
+    sections = [classify.statement_section(F.col("__name"), F.lit(s)).alias(f"__in_{s}") for s in RANK]
+    return names.select("__name", classify.statement_type(F.col("__name")).alias("statement"), *sections)
+
+
+def _classified(facts: DataFrame) -> DataFrame:
+    f = facts.join(small(_named(facts)), F.col("name") == F.col("__name"), "left").drop("__name")
+    return f.withColumn("statement", F.coalesce("statement", F.lit("OTHER")))
+
+
 def classified(facts: DataFrame) -> DataFrame:
-    """Facts with the statement type of their concept."""
-    return facts.withColumn("statement", classify.statement_type(F.col("name")))
+    """Facts with the statement type of their concept, OTHER for a null name."""
+    f = _classified(facts)
+    return f.drop(*[c for c in f.columns if c.startswith("__in_")])
+
+
+def _primary(f: DataFrame) -> DataFrame:
+    n = f.where("statement <> 'OTHER'").groupBy("filing_id", "contextref", "statement").agg(F.count("*").alias("n"))
+    rank = F.coalesce(*[F.when(F.col("statement") == s, -r) for s, r in RANK.items()])
+    best = F.max(F.struct("n", rank.alias("rank"), "statement")).alias("best")
+    return n.groupBy("filing_id", "contextref").agg(best).select("filing_id", "contextref", "best.statement", "best.n")
 
 
 def primary_statements(facts: DataFrame) -> DataFrame:
     """(filing_id, contextref, statement, n): the statement most facts of a context belong to; ties by the statements' order."""
-    n = classified(facts).where("statement <> 'OTHER'").groupBy("filing_id", "contextref", "statement").agg(F.count("*").alias("n"))
-    rank = F.coalesce(*[F.when(F.col("statement") == s, r) for s, r in RANK.items()])
-    w = Window.partitionBy("filing_id", "contextref").orderBy(F.desc("n"), rank)
-    return n.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    return _primary(classified(facts.select("filing_id", "contextref", "name")))
 
 
 def organised(facts: DataFrame) -> DataFrame:
     """Facts with statement and section; those of no statement take their context's primary one, if it has one."""
-    p = primary_statements(facts).select("filing_id", "contextref", F.col("statement").alias("primary_statement"))
-    f = classified(facts).join(p, ["filing_id", "contextref"], "left")
+    f = _classified(facts)
+    p = _primary(_classified(facts.select("filing_id", "contextref", "name"))).select("filing_id", "contextref", F.col("statement").alias("primary_statement"))
+    f = f.join(p, ["filing_id", "contextref"], "left")
     f = f.withColumn("statement", F.when(F.col("statement") == "OTHER", F.coalesce("primary_statement", F.lit("OTHER"))).otherwise(F.col("statement")))
-    return f.drop("primary_statement").withColumn("section", classify.statement_section(F.col("name"), F.col("statement")))
+    section = F.coalesce(*[F.when(F.col("statement") == s, F.coalesce(f"__in_{s}", F.lit("OTHER"))) for s in RANK], F.lit("OTHER"))
+    return f.withColumn("section", section).drop("primary_statement", *[f"__in_{s}" for s in RANK])
+
+
+def statement_cells(facts: DataFrame) -> DataFrame:
+    """(filing_id, statement, section, item, contextref, value): the cells of the statements by period.
+
+    ``item`` is the readable concept; the last fact in document order wins a cell; values in
+    dollars have their sign. Facts of no statement, name or context are left out.
+    """
+    f = organised(facts.select("fact_id", "filing_id", "contextref", "name", "pos", "unitref", "value")).where("statement <> 'OTHER' and name is not null and contextref is not null")
+    value = F.coalesce("value", F.lit(""))
+    shown = F.when((F.lower("unitref") == "usd") & ~value.startswith("$"), F.concat(F.lit("$"), value)).otherwise(value)
+    item = F.when(F.contains("name", F.lit(":")), readable_concept(F.col("name"))).otherwise(F.col("name"))
+    last = F.max_by(shown, F.struct("pos", "fact_id")).alias("value")
+    return f.groupBy("filing_id", "statement", "section", item.alias("item"), "contextref").agg(last)
+
+
+def statement_rows(cells: DataFrame) -> DataFrame:
+    """(filing_id, statement, section, item, text): every row of a statement, ``-`` where a period has no value.
+
+    The columns are the statement's contexts in order of their ids. A row is as wide as its
+    filing has contexts; cells are laid out by place, so only rows are gathered, not statements.
+    """
+    contexts = cells.select("filing_id", "statement", "contextref").distinct()
+    columns = numbered(contexts, ["filing_id", "statement"], ["contextref"], "place")
+    widths = columns.groupBy("filing_id", "statement").agg(F.max("place").alias("width"))
+    placed = cells.join(columns, ["filing_id", "statement", "contextref"])
+    rows = placed.groupBy("filing_id", "statement", "section", "item").agg(F.map_from_entries(F.collect_list(F.struct("place", "value"))).alias("cells"))
+    rows = rows.join(widths, ["filing_id", "statement"])
+    values = F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("width")), lambda i: F.coalesce(F.try_element_at("cells", i), F.lit("-")))
+    return rows.select("filing_id", "statement", "section", "item", F.concat_ws(" | ", "item", F.array_join(values, " | ")).alias("text"))
 
 
 def pivoted(rows: DataFrame, keys: list[str], column: str, columns: list[str], value: Column, missing: str = "-") -> DataFrame:
@@ -66,8 +121,8 @@ def balance_sheets(values: DataFrame, keys: list[str], zero: bool = False) -> Da
     """One row per key with the five balance-sheet lines out of ``concept, value, pos``.
 
     The last fact in document order wins a line. With ``zero`` missing lines are 0 and a
-    missing total is derived; else they are null and a missing liability or equity is
-    derived from the total where the rest is known.
+    missing total is derived; else they are null, and where assets and the total are there
+    a missing liability or, if that is there, a missing equity is derived from the total.
     """
     last = lambda c: F.max_by(F.when(F.col("concept") == c, F.col("value")), F.when(F.col("concept") == c, F.struct("pos", "fact_id")))
     rows = values.where(F.col("concept").isin(*BALANCE.values())).groupBy(*keys).agg(*[last(c).alias(k) for k, c in BALANCE.items()])
@@ -75,11 +130,26 @@ def balance_sheets(values: DataFrame, keys: list[str], zero: bool = False) -> Da
         rows = rows.na.fill(0.0, list(BALANCE))
         return rows.withColumn("total", F.when(F.col("total") == 0, F.col("liabilities") + F.col("equity") + F.col("minority")).otherwise(F.col("total")))
     minority = F.coalesce("minority", F.lit(0.0))
-    return rows.withColumn("liabilities_full", F.coalesce("liabilities", F.col("total") - F.col("equity") - minority)).withColumn(
-        "equity_full", F.coalesce("equity", F.col("total") - F.col("liabilities") - minority)
+    known = F.col("assets").isNotNull() & F.col("total").isNotNull()
+    return rows.withColumn("liabilities_full", F.coalesce("liabilities", F.when(known, F.col("total") - F.col("equity") - minority))).withColumn(
+        "equity_full", F.coalesce("equity", F.when(known, F.col("total") - F.col("liabilities") - minority))
     )
 
 
+def completed_rows(sheets: DataFrame, keys: list[str]) -> DataFrame:
+    """The sheets of ``balance_sheets`` as rows (keys, concept, value, derived) in whole dollars, for sheets with assets.
+
+    Assets, liabilities, equity, minority interest where it is positive, and the total where
+    it is known; ``derived`` where the line was calculated.
+    """
+    lines = [("Assets", "assets", "assets"), ("Liabilities", "liabilities_full", "liabilities"), ("Stockholders Equity", "equity_full", "equity"), ("Minority Interest", "minority", "minority"), ("Liabilities And Stockholders Equity", "total", "total")]
+    row = lambda name, full, own: F.struct(F.lit(name).alias("concept"), F.col(full).alias("amount"), F.col(own).isNull().alias("derived"))
+    rows = sheets.where("assets is not null").select(*keys, F.inline(F.array(*[row(*line) for line in lines])))
+    rows = rows.where("amount is not null and (concept <> 'Minority Interest' or amount > 0)")
+    shown = F.concat(F.lit("$"), F.format_number(F.bround("amount", 0), 0))
+    return rows.select(*keys, "concept", shown.alias("value"), "derived")
+
+
 def balanced(assets: Column, liabilities: Column, equity: Column, minority: Column, tolerance: float = 0.001) -> Column:
     """Assets equal liabilities, equity and minority within the tolerance of the greater side, or liabilities alone."""
     total = liabilities + equity + minority

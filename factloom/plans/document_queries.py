@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from factloom.functions.text import readable_concept
 from factloom.operators import hierarchy, render, statements
+from factloom.plans.fact_queries import _RANK, _section, _statement
 from factloom.plans.graph_queries import _geo
-from factloom.session import table
+from factloom.session import small, table
 from factloom.sources import documents, markup
 
 QUERIES, ORACLES = {}, {}
@@ -100,11 +101,13 @@ def n10(spark, d):
     return wide.select("l_orderkey", F.inline(statements.long_table(F.col("t")))).select("l_orderkey", "item", "column", "value")
 
 
-@query("op_n16_spliced", "select section_key, '@SECTION: ' || section_id || chr(10) || coalesce(text_content, '') as before, length('@STATEMENTS x' || chr(10) || '@SECTION: ' || section_id || chr(10) || coalesce(text_content, '')) as n from sections where not contains(coalesce(text_content, ''), '@')")
+@query("op_n16_spliced", """select section_key, length(case when contains(doc, '@STATEMENTS') then doc when contains(doc, '@END_DICTIONARY') then replace(doc, '@END_DICTIONARY', '@END_DICTIONARY' || chr(10) || '@STATEMENTS x')
+   when contains(doc, '@SECTION: ITEM_8') then left(doc, instr(doc, '@SECTION: ITEM_8') - 1) || '@STATEMENTS x' || chr(10) || substr(doc, instr(doc, '@SECTION: ITEM_8')) else '@STATEMENTS x' || chr(10) || doc end) as n
+  from (select section_key, '@SECTION: ' || section_id || chr(10) || coalesce(text_content, '') as doc from sections)""")
 def n16(spark, d):
-    s = table(spark, d, "sections").where(~F.contains(F.coalesce("text_content", F.lit("")), F.lit("@")))
+    s = table(spark, d, "sections")
     doc = F.concat(F.lit("@SECTION: "), "section_id", F.lit("\n"), F.coalesce("text_content", F.lit("")))
-    return s.select("section_key", doc.alias("before"), F.length(render.spliced(doc, F.lit("@STATEMENTS x"))).cast("bigint").alias("n"))
+    return s.select("section_key", F.length(render.spliced(doc, F.lit("@STATEMENTS x"))).cast("bigint").alias("n"))
 
 
 @query("op_t13_metadata", "select filing_id, trim(company_name) as company, cik, trim(filing_type) as form, strftime(period_end_date, '%Y%m%d') as period from filings where period_end_date is not null and company_name is not null and cik is not null and filing_type is not null")
@@ -149,8 +152,8 @@ def s12(spark, d):
 @query("op_j6_h21_annotated_facts")
 def j6(spark, d):
     arcs = hierarchy.pattern_arcs(spark, table(spark, d, "concepts").select(F.col("name").alias("concept")))
-    level = F.broadcast(hierarchy.levels(arcs, hierarchy.roots(arcs)))
-    parent = F.broadcast(arcs.groupBy(F.col("child").alias("name")).agg(F.min_by("parent", F.struct("ord", "parent")).alias("parent")))
+    level = small(hierarchy.levels(arcs, hierarchy.roots(arcs)))
+    parent = small(arcs.groupBy(F.col("child").alias("name")).agg(F.min_by("parent", F.struct("ord", "parent")).alias("parent")))
     f = table(spark, d, "facts").select("fact_id", "name").join(level.withColumnRenamed("concept", "name"), "name", "left").join(parent, "name", "left")
     return f.select("fact_id", "name", F.coalesce("level", F.lit(-1)).alias("level"), "parent", readable_concept(F.col("name")).alias("label"))
 
@@ -165,13 +168,16 @@ def t19(spark, d):
     return structure.unionByName(sums)
 
 
-@query("op_c3_t7_pipeline", "select statement, sum(n) as n from (select 1 as n, 'all' as statement from facts) group by 1")
+@query("op_c3_t7_pipeline", f"""with n as (select filing_id, contextref, {_statement('name')} as statement, count(*) as n from facts group by all),
+   p as (select filing_id, contextref, statement from (select *, row_number() over (partition by filing_id, contextref order by n desc, {_RANK}) as rn from n where statement <> 'OTHER') where rn = 1),
+   s as (select f.*, case when {_statement('f.name')} = 'OTHER' then coalesce(p.statement, 'OTHER') else {_statement('f.name')} end as statement from facts f left join p using (filing_id, contextref))
+  select filing_id, name, contextref, statement, {_section('name', 'statement')} as section, count(*) as n from s group by all""")
 def c3(spark, d):
-    """Facts to markup, back by the scan, organised into statements: no fact is lost on the way."""
+    """Facts to markup, back by the scan, organised into statements: no fact is lost or changed on the way."""
     from factloom.plans.graph_queries import _html
 
     organised = statements.organised(markup.scan_facts(_html(spark, d)))
-    return organised.agg(F.lit("all").alias("statement"), F.count("*").alias("n"))
+    return organised.groupBy("filing_id", "name", "contextref", "statement", "section").agg(F.count("*").alias("n"))
 
 
 @query("op_x3_learned_formats", "select company_ticker, max_by(format, (n, format)) as format, sum(n) as seen from (select company_ticker, format, count(*) as n from facts where format is not null group by all) group by 1")

@@ -9,7 +9,7 @@ from factloom.functions import classify
 from factloom.functions.classify import CATEGORY_WORDS, NAME_PARTS, ROLE_WORDS, SECTION_WORDS, STATEMENT_WORDS, TOP_LEVEL, alternation
 from factloom.operators import facts as ops
 from factloom.operators import statements
-from factloom.operators.ordered import carried
+from factloom.operators.ordered import carried, numbered
 from factloom.session import small, table
 
 QUERIES, ORACLES = {}, {}
@@ -117,15 +117,6 @@ def a4(spark, d):
 _NUM = "try_cast(replace(value, ',', '') as double)"
 
 
-@query("op_a5_primary_context", f"""with v as (select filing_id, contextref, {_NUM} as v, pos, fact_id from facts where name in ('us-gaap:Assets', 'us-gaap_Assets')), w as (select filing_id, contextref, v, pos, fact_id from v where v is not null)
-  select filing_id, contextref, v as assets from (select *, row_number() over (partition by filing_id order by v desc, pos, fact_id) as rn from w) where rn = 1""")
-def a5(spark, d):
-    f = table(spark, d, "facts").where(F.col("name").isin("us-gaap:Assets", "us-gaap_Assets"))
-    f = f.select("filing_id", "contextref", F.replace("value", F.lit(","), F.lit("")).try_cast("double").alias("v"), "pos", "fact_id").where("v is not null")
-    best = F.max_by(F.struct("contextref", F.col("v").alias("assets")), F.struct("v", -F.col("pos"), -F.col("fact_id")))
-    return f.groupBy("filing_id").agg(best.alias("b")).select("filing_id", "b.*")
-
-
 def _order_facts(spark, d):
     money = lambda e: F.sum(e).cast("decimal(18,4)")
     x = lambda c: F.col(c).cast("decimal(12,2)")
@@ -162,14 +153,6 @@ def a6(spark, d):
     return statements.balance_sheets(_sheet_rows(spark, d), ["filing_id", "contextref"], zero=True)
 
 
-@query("op_a14_m4_m5_balance_sheet_completed", _BS + ", ".join(f"max(v) filter (concept = 'us-gaap:{c}') as {k}" for k, c in _BS_KEYS.items())
-       + ", abs(assets - (liabilities + equity + coalesce(minority, 0))) <= 0.01 * greatest(assets, liabilities + equity + coalesce(minority, 0)) as near from l group by all")
-def a14(spark, d):
-    b = statements.balance_sheets(_sheet_rows(spark, d), ["filing_id", "contextref"])
-    total = F.col("liabilities_full") + F.col("equity_full") + F.coalesce("minority", F.lit(0.0))
-    return b.select("filing_id", "contextref", *_BS_KEYS, (F.abs(F.col("assets") - total) <= 0.01 * F.greatest("assets", total)).alias("near"))
-
-
 @query("op_t24_balance_sheet_rows", _BS.rsplit("select filing_id, contextref, ", 1)[0] + """select filing_id, contextref, concept, v as value from l where concept <> 'us-gaap:MinorityInterest' or v <> 0""")
 def t24(spark, d):
     b = statements.balance_sheets(_sheet_rows(spark, d), ["filing_id", "contextref"])
@@ -178,47 +161,12 @@ def t24(spark, d):
     return rows.where((F.col("line") != "minority") | (F.col("value") != 0)).select("filing_id", "contextref", named.alias("concept"), "value")
 
 
-@query("op_a9_grouping_sets", """select company_ticker, fiscal_year, filing_type, count(*) as n, count(llm_token_count) as counted from filings
-  group by grouping sets ((), (company_ticker), (filing_type), (fiscal_year))""")
-def a9(spark, d):
-    table(spark, d, "filings").createOrReplaceTempView("factloom_filings")
-    return spark.sql("""select company_ticker, fiscal_year, filing_type, count(*) as n, count(llm_token_count) as counted from factloom_filings
-      group by grouping sets ((), (company_ticker), (filing_type), (fiscal_year))""")
-
-
-@query("op_a10_o7_top_elements", "select element, count(*) as n from facts group by 1 order by n desc, element limit 10")
-def a10(spark, d):
-    return table(spark, d, "facts").groupBy("element").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "element").limit(10)
-
-
-@query("op_a13_u6_section_coverage", """with req as (select unnest(['ITEM_1_BUSINESS', 'ITEM_1A_RISK_FACTORS', 'ITEM_2_PROPERTIES', 'ITEM_7_MD_AND_A', 'ITEM_8_FINANCIAL_STATEMENTS']) as id)
-  select f.filing_id, count(s.id) as covered, count(s.id) / 5.0 as share, string_agg(req.id, ',' order by req.id) filter (s.id is null) as missing
-  from (select distinct filing_id from sections) f cross join req left join (select distinct filing_id, section_id as id from sections) s on s.filing_id = f.filing_id and s.id = req.id group by 1""")
-def a13(spark, d):
-    required = ["ITEM_1A_RISK_FACTORS", "ITEM_1_BUSINESS", "ITEM_2_PROPERTIES", "ITEM_7_MD_AND_A", "ITEM_8_FINANCIAL_STATEMENTS"]
-    s = table(spark, d, "sections").groupBy("filing_id").agg(F.collect_set(F.when(F.col("section_id").isin(*required), F.col("section_id"))).alias("have"))
-    missing = F.array_except(F.array(*map(F.lit, sorted(required))), "have")
-    n = F.size("have").cast("bigint")
-    return s.select("filing_id", n.alias("covered"), (n / 5.0).alias("share"), F.nullif(F.array_join(missing, ","), F.lit("")).alias("missing"))
-
-
 @query("op_a16_mode_format", """with n as (select company_ticker, format, count(*) as n from facts where format is not null group by all)
   select company_ticker, format, n from (select *, row_number() over (partition by company_ticker order by n desc, format) as rn from n) where rn = 1""")
 def a16(spark, d):
     return ops.most_reported(table(spark, d, "facts").where("format is not null"), ["company_ticker"], "format", 1).drop("rank")
 
 
-@query("op_a17_a12_batch_summary", """select count(*) as total, count(*) filter (value is not null and trim(value) <> '') as filled, count(distinct filing_id) as filings, sum(length(value)) as chars from facts""")
-def a17(spark, d):
-    filled = F.count_if(F.coalesce(F.trim("value"), F.lit("")) != "")
-    return table(spark, d, "facts").agg(F.count("*").alias("total"), filled.alias("filled"), F.countDistinct("filing_id").alias("filings"), F.sum(F.length("value")).alias("chars"))
-
-
-@query("op_a18_by_concept", """select name, count(*) as n, count(distinct filing_id) as filings from facts group by 1""")
-def a18(spark, d):
-    return table(spark, d, "facts").groupBy("name").agg(F.count("*").alias("n"), F.countDistinct("filing_id").alias("filings"))
-
-
 @query("op_w1_context_codes", f"with {_CONTEXTS} select filing_id, context_id, 'c-' || row_number() over (partition by filing_id order by cpos, context_id) as code from c")
 def w1(spark, d):
     return ops.context_codes(table(spark, d, "contexts")).select("filing_id", "context_id", "code")
@@ -232,14 +180,15 @@ def w2(spark, d):
 
 @query("op_w3_dense_codes", "select distinct filing_id, contextref, dense_rank() over (partition by filing_id order by contextref) as code from facts")
 def w3(spark, d):
-    c = table(spark, d, "facts").select("filing_id", "contextref").distinct()
-    return c.withColumn("code", F.dense_rank().over(Window.partitionBy("filing_id").orderBy("contextref")).cast("bigint"))
+    return numbered(table(spark, d, "facts").select("filing_id", "contextref").distinct(), ["filing_id"], ["contextref"], "code")
 
 
 @query("op_w5_originals_first", """select record_id, row_number() over (partition by cik order by coalesce(is_amended, false), filing_date, record_id) as rn from filing_info""")
 def w5(spark, d):
-    w = Window.partitionBy("cik").orderBy(F.coalesce("is_amended", F.lit(False)), "filing_date", "record_id")
-    return table(spark, d, "filing_info").select("record_id", F.row_number().over(w).cast("bigint").alias("rn"))
+    i = table(spark, d, "filing_info").select("record_id", "cik", F.coalesce("is_amended", F.lit(False)).alias("amended"), "filing_date")
+    # SQL puts nulls last, ranges put them first.
+    i = i.withColumn("undated", F.col("filing_date").isNull())
+    return numbered(i, ["cik"], ["amended", "undated", "filing_date", "record_id"]).select("record_id", "rn")
 
 
 @query("op_w6_t11_next_section", """select section_key, coalesce(lead(pos) over (partition by filing_id order by pos, section_key), -1) as next_pos from sections""")
@@ -254,11 +203,6 @@ def w7(spark, d):
     return carried(f, ["filing_id"], ["pos", "fact_id"], "caption", "carried").select("fact_id", F.col("carried").alias("caption"))
 
 
-@query("op_w8_first_occurrence", "select filing_id, unit_id, min(measure) as measure, count(*) as n from units group by all")
-def w8(spark, d):
-    return table(spark, d, "units").groupBy("filing_id", "unit_id").agg(F.min("measure").alias("measure"), F.count("*").alias("n"))
-
-
 @query("op_o1_o5_ordered_contexts", f"""with {_CONTEXTS}, n as (select filing_id, contextref, count(*) as n from facts group by all)
   select n.filing_id, n.contextref, row_number() over (partition by n.filing_id order by n.n desc, n.contextref) as by_count,
    row_number() over (partition by n.filing_id order by coalesce(replace(coalesce(c.period.instant, c.period.enddate), '-', ''), 'Z'), n.contextref) as by_date,
@@ -268,16 +212,18 @@ def o1(spark, d):
     n = table(spark, d, "facts").groupBy("filing_id", "contextref").agg(F.count("*").alias("n"))
     c = ops.with_context(n, table(spark, d, "contexts"))
     key = F.replace(F.coalesce("period.instant", "period.enddate"), F.lit("-"), F.lit(""))
-    rank = lambda *o: F.row_number().over(Window.partitionBy("filing_id").orderBy(*o)).cast("bigint")
-    return c.select("filing_id", "contextref", rank(F.desc("n"), "contextref").alias("by_count"), rank(F.coalesce(key, F.lit("Z")), "contextref").alias("by_date"),
-                    rank(F.desc(F.coalesce(key, F.lit(""))), F.desc("contextref")).alias("latest"))
+    c = c.select("filing_id", "contextref", "n", F.coalesce(key, F.lit("Z")).alias("early"), F.coalesce(key, F.lit("")).alias("late"))
+    for name, order in (("by_count", [F.desc("n"), "contextref"]), ("by_date", ["early", "contextref"]), ("latest", [F.desc("late"), F.desc("contextref")])):
+        c = numbered(c, ["filing_id"], order, name)
+    return c.select("filing_id", "contextref", "by_count", "by_date", "latest")
 
 
-@query("op_o3_o8_row_order", r"""with r as (select distinct filing_id, name, regexp_matches(lower(regexp_replace(list_extract(string_split(name, ':'), -1), '([a-z])([A-Z])', '\1 \2', 'g')), '^(?:total|gross|net)\b|\btotal\b') as total from facts)
+@query("op_o3_o8_row_order", r"""with r as (select distinct filing_id, name, regexp_matches(lower(regexp_replace(list_extract(string_split(name, ':'), -1), '([a-z])([A-Z])', '\1 \2', 'g')), 'total|^(?:gross|net|operating|consolidated)') as total from facts)
   select filing_id, name, row_number() over (partition by filing_id order by not total, name) as rn from r""")
 def o3(spark, d):
     r = table(spark, d, "facts").select("filing_id", "name").distinct().withColumn("total", classify.is_total(classify.spaced_name(F.col("name"))))
-    return r.select("filing_id", "name", F.row_number().over(Window.partitionBy("filing_id").orderBy(~F.col("total"), "name")).cast("bigint").alias("rn"))
+    r = r.select("filing_id", "name", (~F.col("total")).alias("part"), F.col("name").isNull().alias("unnamed"))
+    return numbered(r, ["filing_id"], ["part", "unnamed", "name"]).select("filing_id", "name", "rn")
 
 
 @query("op_o9_latest_upload", "select company_ticker, max_by(filing_id, (upload_date, filing_id)) as filing_id from filings where upload_date is not null group by 1")
@@ -361,13 +307,6 @@ def f9(spark, d):
     return p.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("company_ticker", "target", "filing_id", "gap")
 
 
-@query("op_f7_filter_amendments", "select filing_id from filings where (trim(filing_type) like '%/A') and fiscal_year = '2022' union all select filing_id from filings where trim(filing_type) not like '%/A' and fiscal_year = '2022'")
-def f7(spark, d):
-    f = table(spark, d, "filings").where("fiscal_year = '2022'")
-    amended = F.trim("filing_type").endswith("/A")
-    return f.where(amended).unionByName(f.where(~amended)).select("filing_id")
-
-
 @query("op_l1_l2_statement_and_section", f"with s as (select distinct name, {_statement('name')} as statement from facts) select name, statement, {_section('name', 'statement')} as section from s")
 def l1(spark, d):
     s = table(spark, d, "facts").select("name").distinct().withColumn("statement", classify.statement_type(F.col("name")))
@@ -400,11 +339,7 @@ def l9(spark, d):
 
 @query("op_l17_context_statements", "select filing_id, contextref, bool_or(contains(lower(name), 'asset')) as balance, bool_or(contains(lower(name), 'revenue')) as income from facts group by all")
 def l17(spark, d):
-    has = lambda w: F.bool_or(F.contains(F.lower("name"), F.lit(w)))
-    return table(spark, d, "facts").groupBy("filing_id", "contextref").agg(has("asset").alias("balance"), has("revenue").alias("income"))
-
-
-_TYPES = ["10-K", "10-Q"]
+    return classify.context_statements(table(spark, d, "facts"))
 
 
 @query("op_t3_t4_pivot", """select filing_id, name, coalesce(max(value) filter (feed = 'exhibit'), '-') as exhibit, coalesce(max(value) filter (feed = 'inline'), '-') as inline,

@@ -86,12 +86,6 @@ def n14(spark, d):
     return a.join(b, [*k, "pos"]).select("a", "b", text.same_value(F.col("va"), F.col("vb")).alias("same"))
 
 
-@query("op_n15_table_paragraphs")
-def n15(spark, d):
-    p = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", r"\n\s*\n")).alias("i", "paragraph"))
-    return p.groupBy("doc_id").agg(F.count_if(text.table_like(F.col("paragraph"))).alias("n_tables"), F.count("*").alias("n_paragraphs"))
-
-
 @query("op_n17_slug", r"""select filing_id, regexp_replace(regexp_replace(lower(trim(company_name)), '[^a-z0-9\s_-]', '', 'g'), '[\s-]+', '_', 'g') as slug from filings""")
 def n17(spark, d):
     return table(spark, d, "filings").select("filing_id", text.slug(F.col("company_name")).alias("slug"))
@@ -102,8 +96,7 @@ def n17(spark, d):
 def n3(spark, d):
     # The identifiers are put in front here, so that every document has some to remove.
     t = F.concat(F.lit("c-1 us-gaap:assets 2023 UNITED STATES "), "text")
-    out = F.regexp_replace(t, r"^(?:[a-z0-9:\-]+\s*)+(UNITED STATES|FORM|[A-Z]{3,})", "@NOTE: XBRL context identifiers removed\n\n$1")
-    return table(spark, d, "documents").select("doc_id", F.length(out).cast("bigint").alias("n"))
+    return table(spark, d, "documents").select("doc_id", F.length(text.without_leading_identifiers(t)).cast("bigint").alias("n"))
 
 
 @query("op_proj_readable_concept", r"""select distinct name, array_to_string(list_transform(string_split(regexp_replace(list_extract(string_split(name, ':'), -1), '([a-z])([A-Z])', '\1 \2', 'g'), ' '),
@@ -293,21 +286,12 @@ def d18(spark, d):
     return r.join(c, ["filing_id", "contextref"], "left").select("filing_id", "contextref", periods.context_date(F.col("e"), F.col("contextref")).alias("day"))
 
 
-@query("op_d19_period_in_text", r"""with h as (select doc_id, substr(text, 1, 10000) as h from documents)
-  select doc_id, nullif(regexp_extract(h, '(?i)fiscal\s+(?:year\s+)?(20\d{2})', 1), '') as fiscal_year,
-   case when regexp_matches(h, '(?i)annual report|for the fiscal year ended|form 10-k') then 'annual' else
-    case lower(regexp_extract(h, '(?i)\b(first|second|third|fourth)\s+(?:fiscal\s+)?quarter', 1)) when 'first' then 'Q1' when 'second' then 'Q2' when 'third' then 'Q3' when 'fourth' then 'Q4' end end as fiscal_period from h""")
-def d19(spark, d):
-    return table(spark, d, "documents").select("doc_id", periods.period_in_text(F.col("text")).alias("p")).select("doc_id", "p.fiscal_year", "p.fiscal_period")
-
-
 @query("op_d22_nearest_quarter_month", """select o_orderkey, (case when month(o_orderdate) <= 4 then 3 when month(o_orderdate) <= 7 then 6 when month(o_orderdate) <= 10 then 9 else 12 end) as month from orders""")
 def d22(spark, d):
     return table(spark, d, "orders").select("o_orderkey", periods.nearest_quarter_month(F.month("o_orderdate")).alias("month"))
 
 
-@query("op_g1_period_formats", "select unnest(['cik_duration', 'cik_instant', 'duration', 'instant']) as name, unnest([0, 1, 2, 3]) as ord")
+@query("op_g1_g2_period_formats", r"""select distinct contextref, case when regexp_matches(contextref, 'C_\d+_(\d{8})_(\d{8})') then 'cik_duration' when regexp_matches(contextref, 'C_\d+_(\d{8})$') then 'cik_instant'
+   when regexp_matches(contextref, '_D(\d{8})-(\d{8})') then 'duration' when regexp_matches(contextref, '_I(\d{8})') then 'instant' end as format from facts""")
 def g1(spark, d):
-    rows = [(name, i) for i, (name, _) in enumerate(periods.period_formats()[:4])]
-    return spark.createDataFrame(rows, "name string, ord int")
-
+    return table(spark, d, "facts").select("contextref").distinct().select("contextref", periods.period_format(F.col("contextref")).alias("format"))

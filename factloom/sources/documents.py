@@ -7,7 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.sources.markup import FACT_DDL, _rows_udtf, scan
+from factloom.operators import headings
+from factloom.sources.markup import FACT_DDL, _rows_udtf, primary_document, scan, visible_text
 
 
 def find_documents(spark: SparkSession, folder: str, tickers: list[str] | None = None, forms: list[str] | None = None, years: list[int] | None = None) -> DataFrame:
@@ -118,3 +119,86 @@ def any_text_facts(documents: DataFrame, stop: tuple[str, ...] = ("html", "head"
         return [(filing, n, tag, tag, None, None, None, None, None, text, True) for tag, _, text, _, n in elements if text]
 
     return _rows_udtf(documents, "filing_id", "html", ddl, rows)
+
+
+#: Sections looked for in the bare text when headings give fewer than two, and how long one must be.
+FALLBACK_SECTIONS = {
+    "ITEM_1_BUSINESS": r"ITEM\s+1\.?\s*Business(.*?)ITEM\s+1A", "ITEM_1A_RISK_FACTORS": r"ITEM\s+1A\.?\s*Risk\s+Factors(.*?)ITEM\s+1B",
+    "ITEM_7_MD_AND_A": r"ITEM\s+7\.?\s*Management.*Discussion(.*?)ITEM\s+7A", "ITEM_2_MD_AND_A": r"ITEM\s+2\.?\s*Management.*Discussion(.*?)ITEM\s+3",
+}
+FALLBACK_LENGTH = 500
+
+
+def section_texts(documents: DataFrame) -> DataFrame:
+    """(filing_id, section_id, heading, text): sections of html documents by their headings.
+
+    A section begins behind a heading (h1 to h4) that a pattern of the T8 list finds and runs
+    to the next heading of more than 5 characters; the last heading of a section wins. A
+    document with fewer than two such sections also gives those that the fallback patterns
+    find in its bare text, if they are longer than 500 characters; its own win.
+    """
+    patterns = [(re.compile(p, re.I), s) for p, s in headings.DOCUMENT]
+
+    def rows(filing: str, html: str) -> list[tuple]:
+        heads = [m for m in re.finditer(r"(?is)<(h[1-4])\b[^>]*>(.*?)</\1\s*>", html)]
+        found: dict[str, tuple] = {}
+        plain = [re.sub(r"\s+", " ", visible_text(m.group(2))).strip() for m in heads]
+        ends = [m.start() for m, t in zip(heads, plain) if len(t) > 5]
+        for m, title in zip(heads, plain):
+            section = next((s for p, s in patterns if p.search(title)), None) if 6 <= len(title) <= 99 else None
+            if section:
+                end = next((e for e in ends if e >= m.end()), len(html))
+                text = visible_text(html[m.end() : end])
+                if text:
+                    found[section] = (title, text)
+        if len(found) < 2:
+            bare = visible_text(html)
+            for section, pattern in FALLBACK_SECTIONS.items():
+                m = re.search(pattern, bare, re.I | re.S)
+                if m and len(m.group(1).strip()) > FALLBACK_LENGTH:
+                    found.setdefault(section, (section.replace("_", " ").title(), m.group(1).strip()))
+        return [(filing, section, title, text) for section, (title, text) in found.items()]
+
+    return _rows_udtf(documents, "filing_id", "html", "filing_id string, section_id string, heading string, text string", rows)
+
+
+#: Where the main part of a document is looked for, in order: (name, opening tag).
+CONTAINERS = [
+    ("document", r"<document\b[^>]*>.*?<html\b[^>]*>.*?<body\b[^>]*>"), ("main-content", r"<div\b[^>]*\bid\s*=\s*[\"']main-content[\"'][^>]*>"),
+    ("formGrouping", r"<div\b[^>]*\bclass\s*=\s*[\"'][^\"']*\bformGrouping\b[^\"']*[\"'][^>]*>"), ("body", r"<body\b[^>]*>"),
+]
+
+
+def main_content(html: str) -> tuple[str, str]:
+    """(which container, its inner markup): the first container there is, else the whole document."""
+    for name, opening in CONTAINERS:
+        m = re.search(opening, html, re.I | re.S)
+        if m:
+            tag = "body" if name in ("document", "body") else "div"
+            depth, at = 1, m.end()
+            for step in re.finditer(rf"(?i)<(/?){tag}\b[^>]*>", html[m.end() :]):
+                depth += -1 if step.group(1) else 1
+                if not depth:
+                    return name, html[m.end() : m.end() + step.start()]
+            return name, html[at:]
+    return "whole", html
+
+
+def main_texts(documents: DataFrame) -> DataFrame:
+    """(filing_id, container, text): the visible text of the main part of html documents."""
+
+    def rows(filing: str, html: str) -> list[tuple]:
+        name, inner = main_content(html)
+        return [(filing, name, visible_text(inner))]
+
+    return _rows_udtf(documents, "filing_id", "html", "filing_id string, container string, text string", rows)
+
+
+def html_filings(pages: DataFrame, documents: DataFrame) -> DataFrame:
+    """(filing_id, href, container, text): index pages followed to their main document, whose main text is read; a page without one is read itself.
+
+    ``documents`` has (href, html): what a fetch would bring. A main document that is not there leaves the page.
+    """
+    linked = pages.join(primary_document(pages), "filing_id", "left").join(documents.select("href", F.col("html").alias("main_html")), "href", "left")
+    read = main_texts(linked.select("filing_id", F.coalesce("main_html", "html").alias("html")))
+    return linked.select("filing_id", F.when(F.col("main_html").isNotNull(), F.col("href")).alias("href")).join(read, "filing_id")
