@@ -35,7 +35,8 @@ def subtotals(items: DataFrame) -> DataFrame:
     t = totals(items).where("base is not null").select("filing_id", "section", F.col("item").alias("total"), "base", F.col("first_pos").alias("total_pos"), F.left("base", F.lit(GRAM)).alias("gram"))
     places = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("item")), lambda i: F.substring("item", i, F.lit(GRAM))))
     # Terms shorter than a gram meet the names' shorter grams.
-    grams = F.array_distinct(F.concat(places, *[F.transform(places, lambda g, n=n: F.left(g, F.lit(n))) for n in range(1, GRAM)]))
+    shorter = lambda n: F.transform(places, lambda g: F.left(g, F.lit(n)))
+    grams = F.array_distinct(F.concat(places, *map(shorter, range(1, GRAM))))
     named = items.select("filing_id", "section", "item", F.explode(grams).alias("gram"))
     met = t.join(named, ["filing_id", "section", "gram"]).where("item <> total and contains(item, base)").drop("gram")
     last = met.groupBy("filing_id", "section", "item").agg(F.max(F.struct("total_pos", "total")).alias("last"))
