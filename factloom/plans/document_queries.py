@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from factloom.functions.text import readable_concept
 from factloom.operators import hierarchy, render, statements
 from factloom.plans.fact_queries import _RANK, _section, _statement
-from factloom.plans.graph_queries import _geo
+from factloom.plans.graph_queries import _ARCS, _geo
 from factloom.session import small, table
 from factloom.sources import documents, markup
 
@@ -149,7 +149,14 @@ def s12(spark, d):
     return documents.any_text_facts(_as_pages(table(spark, d, "nation"), "n_nationkey", html)).select("filing_id", "value", "fallback")
 
 
-@query("op_j6_h21_annotated_facts")
+_TOPS = f"""{_ARCS}, tops as (select distinct parent as concept from arcs where parent not in (select child from arcs)),
+   one as (select distinct child as concept from arcs where parent in (select concept from tops)), two as (select distinct child as concept from arcs where parent in (select concept from one)),
+   lv as (select concept, min(level) as level from (select concept, 0 as level from tops union all select concept, 1 from one union all select concept, 2 from two) group by 1)"""
+
+
+@query("op_j6_h21_annotated_facts", f"""with {_TOPS}, up as (select child as concept, arg_min(parent, (ord, parent)) as parent from arcs group by 1)
+  select f.fact_id, f.name, coalesce(lv.level, -1) as level, up.parent, array_to_string(list_transform(string_split(regexp_replace(list_extract(string_split(f.name, ':'), -1), '([a-z])([A-Z])', '\\1 \\2', 'g'), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') as label
+  from facts f left join lv on lv.concept = f.name left join up on up.concept = f.name""")
 def j6(spark, d):
     arcs = hierarchy.pattern_arcs(spark, table(spark, d, "concepts").select(F.col("name").alias("concept")))
     level = small(hierarchy.levels(arcs, hierarchy.roots(arcs)))
@@ -158,14 +165,21 @@ def j6(spark, d):
     return f.select("fact_id", "name", F.coalesce("level", F.lit(-1)).alias("level"), "parent", readable_concept(F.col("name")).alias("label"))
 
 
-@query("op_t19_t21_alternate_document")
+@query("op_t19_t22_alternate_document", f"""with recursive {_TOPS}, kept as (select parent, child, n from (select *, row_number() over (partition by parent order by ord, child) as n from arcs) where n <= 10),
+   t as (select concept as root, concept, 0 as depth, [concept] as path, concept as path_key, false as is_cycle from tops union all
+    select root, child, depth + 1, list_append(path, child), path_key || '/' || lpad(cast(n as varchar), 4, '0'), list_contains(path, child) from t join kept on t.concept = kept.parent where depth < 3 and not is_cycle)
+  select 'structure' as part, path_key as ord, repeat('  ', depth) || concept || case when is_cycle then ' (cycle)' else '' end as text from t
+  union all select 'calculation', parent, parent || ' = ' || string_agg('+ ' || child, ' ' order by ord, child) from arcs group by parent
+  union all select 'facts', filing_id || '|' || contextref || '|' || fact_id, name || ' = ' || coalesce(value, '') from facts where filing_id is not null and contextref is not null and name is not null""")
 def t19(spark, d):
     concepts = table(spark, d, "concepts").select(F.col("name").alias("concept"))
     arcs = hierarchy.pattern_arcs(spark, concepts)
     tree = hierarchy.tree(arcs, hierarchy.roots(arcs))
     structure = tree.select(F.lit("structure").alias("part"), F.col("path_key").alias("ord"), F.concat(F.repeat(F.lit("  "), F.col("depth")), "concept", F.when(F.col("is_cycle"), " (cycle)").otherwise("")).alias("text"))
     sums = hierarchy.equations(arcs.withColumn("weight", F.lit(1.0))).select(F.lit("calculation").alias("part"), F.col("parent").alias("ord"), F.col("equation").alias("text"))
-    return structure.unionByName(sums)
+    f = table(spark, d, "facts").where("filing_id is not null and contextref is not null and name is not null")
+    told = f.select(F.lit("facts").alias("part"), F.concat_ws("|", "filing_id", "contextref", F.col("fact_id").cast("string")).alias("ord"), F.concat("name", F.lit(" = "), F.coalesce("value", F.lit(""))).alias("text"))
+    return structure.unionByName(sums).unionByName(told)
 
 
 @query("op_c3_t7_pipeline", f"""with n as (select filing_id, contextref, {_statement('name')} as statement, count(*) as n from facts group by all),

@@ -96,10 +96,11 @@ def f8(spark, d):
     return table(spark, d, "sections").where(F.length(h).between(6, 99)).select("section_key", h.alias("heading"))
 
 
-@query("op_a1_a2_groups", """select filing_id, contextref, case when contains(name, ':') then split_part(name, ':', 1) else '' end as prefix, count(*) as n, string_agg(cast(fact_id as varchar), ',' order by pos, fact_id) as ids from facts group by all""")
+@query("op_a1_a2_grouped_facts", """select fact_id, filing_id, contextref, case when contains(name, ':') then split_part(name, ':', 1) else '' end as prefix,
+  row_number() over (partition by filing_id, contextref, case when contains(name, ':') then split_part(name, ':', 1) else '' end order by pos, fact_id) as place from facts""")
 def a1(spark, d):
-    ids = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "fact_id"))), lambda s: s["fact_id"].cast("string")), ",")
-    return table(spark, d, "facts").groupBy("filing_id", "contextref", ops.prefix(F.col("name")).alias("prefix")).agg(F.count("*").alias("n"), ids.alias("ids"))
+    f = table(spark, d, "facts").select("fact_id", "filing_id", "contextref", "pos", ops.prefix(F.col("name")).alias("prefix"))
+    return numbered(f, ["filing_id", "contextref", "prefix"], ["pos", "fact_id"], "place").drop("pos")
 
 
 @query("op_a3_modal_decimals", """with n as (select filing_id, decimals, count(*) as n, min(pos) as p from facts where decimals is not null group by all)
@@ -468,8 +469,10 @@ def r9(spark, d):
     return table(spark, d, "filing_info").select("record_id", F.when(n.endswith(".xml"), "instance").when(F.contains(n, F.lit(".htm")), "inline").otherwise("standard").alias("format"))
 
 
-@query("op_r4_json_document", None)
+@query("op_r4_json_documents", f"""select filing_id, {_statement('name')} as statement, row_number() over (partition by filing_id, {_statement('name')} order by pos, fact_id) as place,
+  json_object('name', name, 'contextref', contextref, 'value', value)::varchar as line from facts""")
 def r4(spark, d):
-    f = table(spark, d, "facts").withColumn("statement", classify.statement_type(F.col("name")))
-    items = F.array_sort(F.collect_list(F.struct("pos", "fact_id", "name", "contextref", "value")))
-    return f.groupBy("filing_id", "statement").agg(F.to_json(items).alias("document"))
+    # A document is its lines in order: it is never one value, however large.
+    f = statements.classified(table(spark, d, "facts").select("fact_id", "filing_id", "name", "contextref", "value", "pos"))
+    f = f.withColumn("line", F.to_json(F.struct("name", "contextref", "value"), {"ignoreNullFields": "false"}))
+    return numbered(f, ["filing_id", "statement"], ["pos", "fact_id"], "place").select("filing_id", "statement", "place", "line")

@@ -78,4 +78,26 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     p1_found, p1_normalised, p5_found, p5_wide, p6_found, p6_records, p6_contexts, p6_dimensions, p6_facts, p6_footnotes, p6_units, p6_columns,
 )}
-ORACLES: dict[str, str] = {}
+
+_DECODED = "case when json_type({j}) = 'VARCHAR' then case when json_valid(ltrim({j} ->> '$', chr(65279) || ' ' || chr(9) || chr(10) || chr(13))) then ltrim({j} ->> '$', chr(65279) || ' ' || chr(9) || chr(10) || chr(13))::json end else {j} end"
+_ITEMS = "unnest(case json_type({j}) when 'ARRAY' then json_extract({j}, '$[*]') when 'OBJECT' then [{j}] end)"
+# The shapes that the table holds, read one by one; a payload is encoded at most four times there.
+P6_FOUND = f"""
+with p as (select export_id, ltrim(payload, chr(65279) || ' ' || chr(9) || chr(10) || chr(13)) as t from structure_exports where payload is not null),
+a as (select export_id, case when json_valid(t) then t::json end as j from p),
+b as (select export_id, {_DECODED.replace('{j}', 'j')} as j from a), c as (select export_id, {_DECODED.replace('{j}', 'j')} as j from b), d as (select export_id, {_DECODED.replace('{j}', 'j')} as j from c),
+r as (select export_id, {_ITEMS.replace('{j}', 'j')} as j from d), s as (select export_id, {_DECODED.replace('{j}', 'j')} as j from r),
+e as (select export_id, case when json_type(j -> 'export') = 'OBJECT' then j -> 'export' else j end -> 'contexts' as c from s),
+k as (select export_id, unnest(json_keys(c)) as key, c from e where json_type(c) = 'OBJECT'),
+x as (select export_id, key, json_extract(c, '$."' || key || '"') as x from k union all select export_id, null, unnest(json_extract(c, '$[*]')) from e where json_type(c) = 'ARRAY'),
+i as (select export_id, case when trim(coalesce(x ->> 'id', '')) <> '' then x ->> 'id' else key end as context_id, x -> 'entity' as e from x),
+g as (select export_id, context_id, {_ITEMS.replace('{j}', 'e')} -> 'segment' as s from i where context_id is not null),
+h as (select export_id, context_id, {_ITEMS.replace('{j}', 's')} as s from g),
+m as (select export_id, context_id, {_ITEMS.replace('{j}', "(s -> 'explicitMember')")} as m from h where json_exists(s, '$.explicitMember')
+  union all select export_id, context_id, s from h where json_exists(s, '$.dimension')),
+q as (select export_id, context_id, unnest(json_keys(s)) as dimension, s from h where not json_exists(s, '$.explicitMember') and not json_exists(s, '$.dimension')),
+o as (select export_id, context_id, m ->> 'dimension' as dimension, coalesce(m ->> 'member', m ->> 'value') as member from m
+  union all select export_id, context_id, dimension, json_extract_string(s, '$."' || dimension || '"') from q)
+select distinct * from o where dimension is not null and member is not null"""
+
+ORACLES: dict[str, str] = {"p6_found": P6_FOUND, "p6_dimensions": P6_FOUND}
