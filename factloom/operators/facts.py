@@ -115,3 +115,20 @@ def first_pairs(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     """The first row of each combination of ``keys`` in the given order, found by an aggregate."""
     rest = [c for c in rows.columns if c not in keys]
     return rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*keys, "r.*")
+
+
+def latest_filings(filings: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, filing_id): the filing filed last of each combination, one without a date before all others; the greatest id of equals."""
+    best = F.max(F.struct("filing_date", "filing_id")).alias("best")
+    return filings.groupBy(*keys).agg(best).select(*keys, "best.filing_id")
+
+
+def with_next(rows: DataFrame, keys: list[str], order: list[str], column: str, name: str) -> DataFrame:
+    """Rows with the value that ``column`` has in the next row within ``keys`` by ``order``, null in the last; null keys are one key.
+
+    Rows are numbered and joined with the number after theirs, so no key is one task's.
+    """
+    n = numbered(rows, keys, order, "__n")
+    after = n.select(*[F.col(k).alias(f"__k_{k}") for k in keys], (F.col("__n") - 1).alias("__before"), F.col(column).alias(name))
+    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+    return n.join(after, [F.col("__n") == F.col("__before"), *same], "left").drop("__n", "__before", *[f"__k_{k}" for k in keys])

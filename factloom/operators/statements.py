@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from factloom.functions import classify
 from factloom.functions.text import readable_concept
-from factloom.operators.ordered import numbered
 from factloom.session import small
 
 RANK = {"BALANCE_SHEET": 1, "INCOME_STATEMENT": 2, "CASH_FLOW": 3, "EQUITY": 4}
@@ -23,22 +22,23 @@ def _named(facts: DataFrame) -> DataFrame:
     return names.select("__name", classify.statement_type(F.col("__name")).alias("statement"), *sections)
 
 
-def _classified(facts: DataFrame) -> DataFrame:
-    f = facts.join(small(_named(facts)), F.col("name") == F.col("__name"), "left").drop("__name")
+def _classified(facts: DataFrame, named: DataFrame) -> DataFrame:
+    f = facts.join(named, F.col("name") == F.col("__name"), "left").drop("__name")
     return f.withColumn("statement", F.coalesce("statement", F.lit("OTHER")))
 
 
 def classified(facts: DataFrame) -> DataFrame:
     """Facts with the statement type of their concept, OTHER for a null name."""
-    f = _classified(facts)
+    f = _classified(facts, small(_named(facts)))
     return f.drop(*[c for c in f.columns if c.startswith("__in_")])
 
 
 def _primary(f: DataFrame) -> DataFrame:
-    n = f.where("statement <> 'OTHER'").groupBy("filing_id", "contextref", "statement").agg(F.count("*").alias("n"))
+    n = f.groupBy("filing_id", "contextref", "statement").agg(F.count("*").alias("n"))
     rank = F.coalesce(*[F.when(F.col("statement") == s, -r) for s, r in RANK.items()])
-    best = F.max(F.struct("n", rank.alias("rank"), "statement")).alias("best")
-    return n.groupBy("filing_id", "contextref").agg(best).select("filing_id", "contextref", "best.statement", "best.n")
+    # Facts of no statement are left out in the aggregate: a filter would be carried through the join and match the word lists once per fact.
+    best = F.max(F.when(F.col("statement") != "OTHER", F.struct("n", rank.alias("rank"), "statement"))).alias("best")
+    return n.groupBy("filing_id", "contextref").agg(best).where("best is not null").select("filing_id", "contextref", "best.statement", "best.n")
 
 
 def primary_statements(facts: DataFrame) -> DataFrame:
@@ -48,9 +48,9 @@ def primary_statements(facts: DataFrame) -> DataFrame:
 
 def organised(facts: DataFrame) -> DataFrame:
     """Facts with statement and section; those of no statement take their context's primary one, if it has one."""
-    f = _classified(facts)
-    p = _primary(_classified(facts.select("filing_id", "contextref", "name"))).select("filing_id", "contextref", F.col("statement").alias("primary_statement"))
-    f = f.join(p, ["filing_id", "contextref"], "left")
+    named = small(_named(facts))
+    p = _primary(_classified(facts.select("filing_id", "contextref", "name"), named)).select("filing_id", "contextref", F.col("statement").alias("primary_statement"))
+    f = _classified(facts, named).join(p, ["filing_id", "contextref"], "left")
     f = f.withColumn("statement", F.when(F.col("statement") == "OTHER", F.coalesce("primary_statement", F.lit("OTHER"))).otherwise(F.col("statement")))
     section = F.coalesce(*[F.when(F.col("statement") == s, F.coalesce(f"__in_{s}", F.lit("OTHER"))) for s in RANK], F.lit("OTHER"))
     return f.withColumn("section", section).drop("primary_statement", *[f"__in_{s}" for s in RANK])
@@ -73,16 +73,13 @@ def statement_cells(facts: DataFrame) -> DataFrame:
 def statement_rows(cells: DataFrame) -> DataFrame:
     """(filing_id, statement, section, item, text): every row of a statement, ``-`` where a period has no value.
 
-    The columns are the statement's contexts in order of their ids. A row is as wide as its
-    filing has contexts; cells are laid out by place, so only rows are gathered, not statements.
+    The columns are the statement's contexts in order of their ids. A row has a value for each
+    of them, so the list of them is no longer than a row; statements are never gathered.
     """
-    contexts = cells.select("filing_id", "statement", "contextref").distinct()
-    columns = numbered(contexts, ["filing_id", "statement"], ["contextref"], "place")
-    widths = columns.groupBy("filing_id", "statement").agg(F.max("place").alias("width"))
-    placed = cells.join(columns, ["filing_id", "statement", "contextref"])
-    rows = placed.groupBy("filing_id", "statement", "section", "item").agg(F.map_from_entries(F.collect_list(F.struct("place", "value"))).alias("cells"))
-    rows = rows.join(widths, ["filing_id", "statement"])
-    values = F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("width")), lambda i: F.coalesce(F.try_element_at("cells", i), F.lit("-")))
+    columns = cells.groupBy("filing_id", "statement").agg(F.sort_array(F.collect_set("contextref")).alias("columns"))
+    rows = cells.groupBy("filing_id", "statement", "section", "item").agg(F.map_from_entries(F.collect_list(F.struct("contextref", "value"))).alias("cells"))
+    rows = rows.join(columns, ["filing_id", "statement"])
+    values = F.transform("columns", lambda c: F.coalesce(F.try_element_at("cells", c), F.lit("-")))
     return rows.select("filing_id", "statement", "section", "item", F.concat_ws(" | ", "item", F.array_join(values, " | ")).alias("text"))
 
 

@@ -50,12 +50,23 @@ def s24(spark, d):
     return markup.concept_arcs(markup.scan_links(_link_file(spark, d, "definition")), "definition").select("filing_id", "parent", "child", "arcrole")
 
 
-@query("op_s21_h23_presentation_by_role", "select 'http://role/geo' as role, 'Unknown' as statement, count(*) as n from nation")
+# A role for each region, whose words tell the statement.
+_ROLES = {"AFRICA": "BalanceSheet", "AMERICA": "StatementsOfOperations", "ASIA": "CashFlow", "EUROPE": "StockholdersEquity"}
+_ROLE_STATEMENTS = {"AFRICA": "Balance_Sheet", "AMERICA": "Income_Statement", "ASIA": "Cash_Flow_Statement", "EUROPE": "Statement_Of_Equity"}
+
+
+def _case(values: dict[str, str], default: str) -> str:
+    return "case r_name " + " ".join(f"when '{k}' then '{v}'" for k, v in values.items()) + f" else '{default}' end"
+
+
+@query("op_s21_h23_presentation_by_role", f"select 'http://role/' || {_case(_ROLES, 'geo')} as role, {_case(_ROLE_STATEMENTS, 'Unknown')} as statement, 'geo:' || r_name as parent, 'geo:' || n_name as child from nation join region on n_regionkey = r_regionkey")
 def h23(spark, d):
     from factloom.functions.classify import statement_of_role
 
-    arcs = markup.concept_arcs(markup.scan_links(_link_file(spark, d, "presentation")), "presentation")
-    return arcs.groupBy("role", statement_of_role(F.col("role")).alias("statement")).agg(F.count("*").alias("n"))
+    named = F.coalesce(*[F.when(F.col("filing_id") == k, v) for k, v in _ROLES.items()], F.lit("geo"))
+    files = _link_file(spark, d, "presentation").select("filing_id", F.replace("html", F.lit("http://role/geo"), F.concat(F.lit("http://role/"), named)).alias("html"))
+    arcs = markup.concept_arcs(markup.scan_links(files), "presentation")
+    return arcs.select("role", statement_of_role(F.col("role")).alias("statement"), "parent", "child")
 
 
 @query("op_s8_s25_labels", "select name as concept, 'http://role/label' as label_role, 'Label of ' || name as text from concepts")
@@ -79,16 +90,19 @@ def s43(spark, d):
     return facts.groupBy("filing_id").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("bigint")).alias("total"))
 
 
-@query("op_n4_n5_guarded_markup", "select l_orderkey, true as numbers_kept, true as smaller from lineitem group by 1")
+_AMOUNT = "cast(cast(l_extendedprice as decimal(12,2)) as varchar)"
+
+
+@query("op_n4_n5_guarded_markup", f"""select l_orderkey, '<table>' || string_agg('<tr><td>' || {_AMOUNT} || '</td><td>' || cast(l_quantity as bigint) || '</td></tr>', '' order by l_linenumber, l_partkey, l_suppkey) || '</table>' as lean,
+  string_agg({_AMOUNT} || ' ' || cast(l_quantity as bigint), ' ' order by l_linenumber, l_partkey, l_suppkey) as plain from lineitem group by 1""")
 def n4(spark, d):
-    row = F.concat(F.lit('<tr style="color: red"><td class="x" width="50">'), F.col("l_extendedprice").cast("string"), F.lit("</td> <td>"), F.col("l_quantity").cast("string"), F.lit("</td></tr>"))
-    pages = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.concat(F.lit('<table border="1">'), F.array_join(F.collect_list(row), ""), F.lit("</table>")).alias("html"))
+    amount, quantity = F.col("l_extendedprice").cast("decimal(12,2)").cast("string"), F.col("l_quantity").cast("bigint").cast("string")
+    row = F.concat(F.lit('<tr style="color: red"><td class="x" width="50">'), amount, F.lit("</td> <td>"), quantity, F.lit("</td></tr>"))
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", row.alias("row")))), lambda r: r["row"])
+    pages = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.concat(F.lit('<table border="1">'), F.array_join(rows, ""), F.lit("</table>")).alias("html"))
     pages = pages.select(F.col("l_orderkey").cast("string").alias("filing_id"), "html")
     lean = markup._rows_udtf(pages, "filing_id", "html", "filing_id string, lean string, plain string", lambda k, h: [(k, markup.lean_table(h), markup.safe_text(h))])
-    numbers = lambda c: F.array_sort(F.regexp_extract_all(F.regexp_replace(c, "<[^>]+>", " "), F.lit(r"(\d[\d,.]*\d|\d)"), 1))
-    out = pages.join(lean, "filing_id")
-    kept = (numbers(F.col("html")) == numbers(F.col("lean"))) & (numbers(F.col("html")) == numbers(F.col("plain")))
-    return out.select(F.col("filing_id").cast("bigint").alias("l_orderkey"), kept.alias("numbers_kept"), (F.length("lean") < F.length("html")).alias("smaller"))
+    return lean.select(F.col("filing_id").cast("bigint").alias("l_orderkey"), "lean", F.trim(F.regexp_replace("plain", r"\s+", " ")).alias("plain"))
 
 
 @query("op_n10_long_tables", """select l_orderkey, 'l' || l_linenumber || '.' || l_partkey || '.' || l_suppkey as item, m.m as column, case m.m when 'quantity' then cast(cast(l_quantity as bigint) as varchar) else cast(cast(l_tax * 100 as bigint) as varchar) end as value

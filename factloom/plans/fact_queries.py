@@ -194,8 +194,7 @@ def w5(spark, d):
 
 @query("op_w6_t11_next_section", """select section_key, coalesce(lead(pos) over (partition by filing_id order by pos, section_key), -1) as next_pos from sections""")
 def w6(spark, d):
-    w = Window.partitionBy("filing_id").orderBy("pos", "section_key")
-    return table(spark, d, "sections").select("section_key", F.coalesce(F.lead("pos").over(w), F.lit(-1)).alias("next_pos"))
+    return ops.with_next(table(spark, d, "sections").select("section_key", "filing_id", "pos"), ["filing_id"], ["pos", "section_key"], "pos", "next_pos").select("section_key", F.coalesce("next_pos", F.lit(-1)).alias("next_pos"))
 
 
 @query("op_w7_carry_forward", """select fact_id, last_value(caption ignore nulls) over (partition by filing_id order by pos, fact_id rows between unbounded preceding and current row) as caption from facts""")
@@ -300,12 +299,13 @@ def f9(spark, d):
     f = table(spark, d, "filings")
     t = f.where(F.col("fiscal_year").rlike(r"^20\d\d$")).select("company_ticker", F.col("fiscal_year").cast("int").alias("y")).distinct()
     t = t.select(F.col("company_ticker").alias("t"), F.explode(F.transform(F.array(*map(F.lit, (3, 6, 9, 12))), lambda m: F.make_date(F.col("y"), m, F.lit(1)))).alias("target"))
-    near = (F.col("period_end_date") >= F.add_months("target", -1)) & (F.col("period_end_date") <= F.last_day(F.add_months("target", 1)))
-    p = t.join(f, (F.col("t") == F.col("company_ticker")) & near)
-    gap = F.abs((F.year("period_end_date") - F.year("target")) * 12 + F.month("period_end_date") - F.month("target"))
-    p = p.withColumn("gap", gap.cast("bigint"))
-    w = Window.partitionBy("company_ticker", "target").orderBy("gap", "period_end_date", "filing_id")
-    return p.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("company_ticker", "target", "filing_id", "gap")
+    # Months within one of each other meet by equality of the month, so a hot ticker joins by ticker and month.
+    months = lambda c: F.year(c) * 12 + F.month(c)
+    at = f.where("period_end_date is not null").select("company_ticker", "filing_id", "period_end_date", F.explode(F.sequence(months("period_end_date") - 1, months("period_end_date") + 1)).alias("month"))
+    p = t.withColumn("month", months("target")).join(at.withColumnRenamed("company_ticker", "t"), ["t", "month"])
+    gap = F.abs(months("period_end_date") - F.col("month")).cast("bigint")
+    best = F.min(F.struct(gap.alias("gap"), "period_end_date", "filing_id")).alias("best")
+    return p.groupBy(F.col("t").alias("company_ticker"), "target").agg(best).select("company_ticker", "target", "best.filing_id", "best.gap")
 
 
 @query("op_l1_l2_statement_and_section", f"with s as (select distinct name, {_statement('name')} as statement from facts) select name, statement, {_section('name', 'statement')} as section from s")
@@ -384,8 +384,7 @@ def last(spark, d):
 
 @query("op_s30_latest_per_type", """select company_ticker, filing_type, filing_id from (select *, row_number() over (partition by company_ticker, filing_type order by filing_date desc nulls last, filing_id desc) as rn from filings) where rn = 1""")
 def s30(spark, d):
-    w = Window.partitionBy("company_ticker", "filing_type").orderBy(F.desc_nulls_last("filing_date"), F.desc("filing_id"))
-    return table(spark, d, "filings").withColumn("rn", F.row_number().over(w)).where("rn = 1").select("company_ticker", "filing_type", "filing_id")
+    return ops.latest_filings(table(spark, d, "filings"), ["company_ticker", "filing_type"])
 
 
 @query("op_s28_cik_lookup", "select f.record_id, m.cik as looked_up from filing_info f left join (select upper(trim(company_ticker)) as t, min(cik) as cik from filings where company_ticker is not null group by 1) m on m.t = upper(trim(f.ticker))")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factloom.functions import periods, text
+from factloom.functions.let import let
 from factloom.functions.text import CLEAN_STEPS, ONE_TO_MANY, ONE_TO_ONE
 from factloom.session import table
 
@@ -47,8 +48,9 @@ def n1(spark, d):
 
 @query("op_n2_clean_text", f"select section_key, md5({_sql_clean('text_content')}) as h, length({_sql_clean('text_content')}) as n from sections")
 def n2(spark, d):
-    out = text.clean_text(F.col("text_content"))
-    return table(spark, d, "sections").select("section_key", F.md5(out).alias("h"), F.length(out).cast("bigint").alias("n"))
+    # The text is cleaned once for both.
+    out = let(text.clean_text(F.col("text_content")), lambda t: F.struct(F.md5(t).alias("h"), F.length(t).cast("bigint").alias("n")))
+    return table(spark, d, "sections").select("section_key", out.alias("o")).select("section_key", "o.h", "o.n")
 
 
 @query("op_n11_less_white_space", r"""select section_key, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text_content, '[ \t]+\n', chr(10), 'g'),
