@@ -15,7 +15,7 @@ def test_sql(spark, data):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("filing_info", "capture_channels"):
+    for t in ("filing_info", "capture_channels", "sections"):
         con.execute(f"create view {t} as select * from '{data}/{t}.parquet'")
     for name, sql in oracles.ORACLES.items():
         df = entry.queries()[name](spark, data)
