@@ -17,10 +17,12 @@ def event_signals(events: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the cluster's shared checkpoint folder."""
-    from factloom.session import checkpoint_folder
+    """A new folder in the cluster's shared checkpoint folder, deleted with the session."""
+    from factloom.session import checkpoint_folder, forget
 
-    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    forget(spark, folder)
+    return folder
 
 
 def run_available(stream: DataFrame, spark: SparkSession, name: str, mode: str = "update") -> DataFrame:
